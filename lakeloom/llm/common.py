@@ -38,3 +38,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def parts_for(rows: int, rows_per_part: int, least: int = 1) -> int:
     """Number of parts that hold about rows_per_part rows each."""
     return max(least, -(-int(rows) // rows_per_part))
+
+
+class BucketedTable:
+    """A table in the shared folder, bucketed by a column: joins on that column don't shuffle it."""
+
+    def __init__(self, df: DataFrame, buckets: int, column: str):
+        spark = df.sparkSession
+        self.spark, self.name = spark, f"lakeloom_{uuid.uuid4().hex}"
+        self.path = f"{shared_folder(spark)}/lakeloom/{self.name}"
+        df.write.bucketBy(buckets, column).sortBy(column).option("path", self.path).saveAsTable(self.name)
+        self.df = spark.table(self.name)
+
+    def drop(self) -> None:
+        """Forget the table and delete its files; what was computed from it must be settled."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

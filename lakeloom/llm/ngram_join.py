@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import shingles as S
-from lakeloom.llm.common import parts_for, settle
+from lakeloom.llm.common import BucketedTable, parts_for, settle
 from lakeloom.llm.components import connected_components
 
 U = np.uint64
@@ -40,6 +40,9 @@ LISTED_PER_PART = 400_000
 SALT_ROWS = 256
 #: Lists at least this long are probed block by block; shorter ones row against row, all lists at once.
 LONG_LIST = 64
+DOCS_PER_BUCKET = 4096
+#: Spark allows 100,000 buckets; beyond that many documents buckets grow, and sort-merge joins spill.
+MOST_BUCKETS = 50_000
 _KEY_FACTORS = S.mix(np.arange(1, KEYS + 1, dtype=U)) | U(1)
 
 SET_SCHEMA = "doc_id long, n long, d1 long, d2 long, keys array<long>, bits binary, sketch binary"
@@ -254,8 +257,8 @@ class _Join:
     """The steps over documents whose doc_id is neither null nor repeated."""
 
     def __init__(self, docs: DataFrame):
-        self.docs = docs.select("doc_id", "text")
-        self.described = settle(self.docs.mapInArrow(_describe, SET_SCHEMA))
+        docs = docs.select("doc_id", "text")
+        self.described = settle(docs.mapInArrow(_describe, SET_SCHEMA))
         sets = self.described.where("sketch is null")
         filled = sets.where("n > 0")
         classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
@@ -264,6 +267,9 @@ class _Join:
         )
         alone = self.members.where("doc_id = rep").select("doc_id")
         self.reps = settle(filled.join(alone, "doc_id", "left_semi").select("doc_id", "n", "keys", "bits"))
+        # Texts are dealt by number once; all later joins with them move only the other side.
+        parts = min(parts_for(self.members.count(), DOCS_PER_BUCKET, 8), MOST_BUCKETS)
+        self.docs = BucketedTable(docs.repartition(parts, "doc_id").join(alone, "doc_id", "left_semi"), parts, "doc_id")
 
     def links(self) -> DataFrame:
         keyed = self.reps.select("doc_id", F.posexplode("keys").alias("k", "v"))
@@ -288,7 +294,9 @@ class _Join:
         groups = self.grouped(links)
         rest = self.candidates(groups).join(tried.unionAll(again), ["a", "b"], "left_anti")
         last = self.compare(self.possible(rest), near)
-        return links.unionAll(last.where("linked").select("a", "b"))
+        links = settle(links.unionAll(last.where("linked").select("a", "b")))
+        self.docs.drop()
+        return links
 
     def grouped(self, links: DataFrame) -> DataFrame:
         """(doc_id, comp) of every representative."""
@@ -322,7 +330,7 @@ class _Join:
         none = {x: F.lit(None).cast("binary") for x in ("lost", "gained")}
         probes = pairs.select("a", "salt").distinct().select(F.col("a").alias("doc_id"), "a", "salt", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("b"))
         whole = pairs.where("hub is null").select(F.col("b").alias("doc_id"), "a", "salt", F.lit(1).alias("kind"), "b")
-        rows = self.docs.join(probes.unionAll(whole), "doc_id").drop("doc_id").withColumns({"hub": F.lit(None).cast("long"), **none})
+        rows = self.docs.df.join(probes.unionAll(whole), "doc_id").drop("doc_id").withColumns({"hub": F.lit(None).cast("long"), **none})
         if near is not None:
             deltas = pairs.where("hub is not null").join(near.drop("hub").withColumnRenamed("child", "b"), "b")
             deltas = deltas.withColumns({"text": F.lit(None).cast("string"), "kind": F.lit(2)})
@@ -332,10 +340,10 @@ class _Join:
 
     def candidates(self, groups: DataFrame) -> DataFrame:
         load = _element_counts(self.described)
-        load = self.docs.sparkSession.sparkContext.broadcast(load)  # of fixed size
+        load = self.reps.sparkSession.sparkContext.broadcast(load)  # of fixed size
         rows = _prefix_rows_of(load)
         total = self.reps.agg(F.sum("n")).first()[0] or 0
-        listed = self.docs.join(groups, "doc_id").mapInArrow(rows, "element long, place long, doc_id long, comp long")
+        listed = self.docs.df.join(groups, "doc_id").mapInArrow(rows, "element long, place long, doc_id long, comp long")
         parts = parts_for(total // 5, LISTED_PER_PART, 8)
         lists = listed.repartition(parts, "element").sortWithinPartitions("element", "place")
         return lists.mapInArrow(_probe_lists, "a long, b long").distinct()
