@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,3 +58,31 @@ class BucketedTable:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(len(rows["counts"].iloc[0]) // 8, "<i8")
+    for x in rows["counts"]:
+        total += np.frombuffer(x, "<i8")
+    return pd.DataFrame({"key": [rows["key"].iloc[0]], "slice": [rows["slice"].iloc[0]], "counts": [total.tobytes()]})
+
+
+def add_counts(rows: DataFrame, width: int, slices: int = 16, fan_in: int = 64) -> dict[str, np.ndarray]:
+    """Sums of rows(key, counts): count vectors of `width` little-endian 64-bit integers, by key.
+
+    Each task hands in one vector for each key; slices of them are added in groups of fan_in until
+    one is left. Keys are few (languages, say), so what reaches the driver has a fixed size.
+    """
+    step = width * 8 // slices
+    cut = F.array(*[F.expr(f"substring(counts, {i * step + 1}, {step})") for i in range(slices)])
+    left = rows.groupBy("key").count().agg(F.max("count")).first()[0] or 0
+    rows = rows.select("key", F.posexplode(cut).alias("slice", "counts"))
+    schema = "key string, slice int, counts binary"
+    while left > fan_in:
+        left = parts_for(left, fan_in)
+        part = F.pmod(F.xxhash64("counts"), F.lit(left))
+        rows = settle(rows.withColumn("part", part).groupBy("key", "slice", "part").applyInPandas(_add_up, schema))
+    out: dict[str, np.ndarray] = {}
+    for r in rows.groupBy("key", "slice").applyInPandas(_add_up, schema).collect():
+        out.setdefault(r["key"], np.zeros(width, np.int64))[r["slice"] * step // 8 : (r["slice"] + 1) * step // 8] = np.frombuffer(r["counts"], "<i8")
+    return out

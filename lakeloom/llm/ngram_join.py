@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import shingles as S
-from lakeloom.llm.common import BucketedTable, parts_for, settle
+from lakeloom.llm.common import BucketedTable, add_counts, parts_for, settle
 from lakeloom.llm.components import connected_components
 
 U = np.uint64
@@ -85,32 +85,6 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*one, pa.array([load.astype("<i8").tobytes()], pa.binary())], schema=schema)
 
 
-def _add_slices(rows: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(x, "<i8") for x in rows["counts"]], axis=0)
-    return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "counts": [total.tobytes()]})
-
-
-def _element_counts(described: DataFrame) -> np.ndarray:
-    """Counts by bucket over all tasks: a table of fixed size, added up in groups of 64."""
-    slices, width = 16, (1 << SKETCH_BITS) * 8 // 16
-    counts = described.where("sketch is not null").select(
-        F.posexplode(F.array(*[F.expr(f"substring(sketch, {i * width + 1}, {width})") for i in range(slices)])).alias("slice", "counts")
-    )
-    left = described.where("sketch is not null").count()
-    while left > 1:
-        left = parts_for(left, 64)
-        counts = settle(
-            counts.withColumn("part", F.pmod(F.hash("counts"), F.lit(left)))
-            .groupBy("slice", "part")
-            .applyInPandas(_add_slices, "slice int, counts binary")
-        )
-    rows = counts.groupBy("slice").applyInPandas(_add_slices, "slice int, counts binary").collect()
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in rows:
-        total[r["slice"] * width // 8 : (r["slice"] + 1) * width // 8] = np.frombuffer(r["counts"], "<i8")
-    return total
-
-
 def _among(x: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     """Which elements of x the sorted set holds."""
     if not len(sorted_set):
@@ -339,7 +313,8 @@ class _Join:
         return settle(rows.mapInArrow(_compare, COMPARED))
 
     def candidates(self, groups: DataFrame) -> DataFrame:
-        load = _element_counts(self.described)
+        counts = self.described.where("sketch is not null").select(F.lit("").alias("key"), F.col("sketch").alias("counts"))
+        load = add_counts(counts, 1 << SKETCH_BITS).get("", np.zeros(1 << SKETCH_BITS, np.int64))
         load = self.reps.sparkSession.sparkContext.broadcast(load)  # of fixed size
         rows = _prefix_rows_of(load)
         total = self.reps.agg(F.sum("n")).first()[0] or 0
