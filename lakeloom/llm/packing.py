@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,44 +186,77 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInPandas(_placer(plan), f"{types}, sequence_id long, offset long")
 
 
-_words: dict[bytes, bytes] = {}
-_tokenizers: dict[str, object] = {}
+#: ASCII punctuation but the apostrophe, which can begin an ending of its own.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
+class WordIds:
+    """Ids of words as little-endian 32-bit bytes, encoded once and then looked up.
+
+    For tokenizers whose pieces never cross ASCII blanks, that lower-case, and that part a word from
+    the marks after it. Two generations of up to WORDS_KEPT words are held, so what is in use stays.
+    """
+
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _words.clear()
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
-
-def word_ids(texts: list[str], path: str) -> Iterator[bytes]:
-    """Little-endian 32-bit ids of each text. For tokenizers that never merge across ASCII blanks.
-
-    Each blank-separated word is encoded once and then looked up.
-    """
-    tokenizer = _tokenizer(path)
-    for text in texts:
+    def text(self, text: str) -> bytes:
         words = text.encode().split()
-        try:
-            yield b"".join(map(_words.__getitem__, words))
-            continue
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in _words})
-        if len(_words) + len(new) > WORDS_KEPT:
-            _words.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
-            for w, e in zip(some, tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False), strict=True):
-                _words[w] = np.array(e.ids, "<u4").tobytes()
-        yield b"".join(map(_words.__getitem__, words))
+        ids = list(map(self.young.get, words))
+        if None in ids:
+            if len(self.young) > WORDS_KEPT:
+                self.young, self.old = {}, self.young
+            if len(self.stems) > WORDS_KEPT:
+                self.stems = {}
+            young, old = self.young, self.old
+            for i in [i for i, x in enumerate(ids) if x is None]:
+                w = words[i]
+                ids[i] = young[w] = young.get(w) or old.get(w) or self.word(w)
+        return b"".join(ids)
+
+    def word(self, word: bytes) -> bytes:
+        stem = word.rstrip(_MARKS)
+        if stem.isalpha():  # ASCII letters only
+            stem = stem.lower()
+            ids = self.stems.get(stem)
+            if ids is None:
+                ids = self.stems[stem] = array("I", [t.id for t in self.model.tokenize(stem.decode())]).tobytes()
+            return ids + self.mark(word[len(stem) :])
+        # Up to U+00FF letters are one code point each and lower-case alike everywhere.
+        letters = stem.decode()
+        if letters.isalpha() and max(letters) < "\u0100":
+            return self.mark(letters.lower().encode()) + self.mark(word[len(stem) :])
+        return self.encode(word.decode())
+
+    def mark(self, part: bytes) -> bytes:
+        if not part:
+            return b""
+        ids = self.stems.get(part)
+        if ids is None:
+            ids = self.stems[part] = self.encode(part.decode())
+        return ids
+
+    def encode(self, s: str) -> bytes:
+        return array("I", self.tokenizer.encode(s, add_special_tokens=False).ids).tobytes()
+
+
+_word_ids: dict[str, WordIds] = {}
+
+
+def word_ids(texts: Iterator[str], path: str) -> Iterator[bytes]:
+    """The ids of each text by the tokenizer at path."""
+    if path not in _word_ids:
+        _word_ids[path] = WordIds(path)
+    return map(_word_ids[path].text, texts)
 
 
 def _cutter(path: str, capacity: int, with_ids: bool):
