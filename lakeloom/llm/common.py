@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +89,17 @@ def add_counts(rows: DataFrame, width: int, slices: int = 16, fan_in: int = 64)
     for r in rows.groupBy("key", "slice").applyInPandas(_add_up, schema).collect():
         out.setdefault(r["key"], np.zeros(width, np.int64))[r["slice"] * step // 8 : (r["slice"] + 1) * step // 8] = np.frombuffer(r["counts"], "<i8")
     return out
+
+
+def tidy(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The step, after which the worker gives freed memory back: workers serve many tasks, and what
+    their allocators hold on to adds up on an executor."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run

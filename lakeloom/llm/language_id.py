@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import add_counts, settle
+from lakeloom.llm.common import add_counts, settle, tidy
 
 BUCKET_BITS = 16
 RUN_BYTES = 1 << 19
@@ -88,7 +88,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    counts = add_counts(settle(rows.mapInArrow(_count, "key string, counts binary")), 1 << BUCKET_BITS)
+    counts = add_counts(settle(rows.mapInArrow(tidy(_count), "key string, counts binary")), 1 << BUCKET_BITS)
     langs = sorted(counts)
     table = np.array([counts[x] for x in langs], float).reshape(len(langs), 1 << BUCKET_BITS) + SMOOTHING
     return langs, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32).T.copy()
@@ -185,7 +185,7 @@ def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(table)  # of the number of languages
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
-    return rows.mapInArrow(_predictor(langs, model), schema)
+    return rows.mapInArrow(tidy(_predictor(langs, model)), schema)
 
 
 def held_out(doc_id="doc_id"):

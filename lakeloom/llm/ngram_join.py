@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import shingles as S
-from lakeloom.llm.common import BucketedTable, add_counts, parts_for, settle
+from lakeloom.llm.common import BucketedTable, add_counts, parts_for, settle, tidy
 from lakeloom.llm.components import connected_components
 
 U = np.uint64
@@ -105,21 +105,20 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         a, salt, kind, b, hub, lost, gained = (batch.column(x).to_pylist() for x in ("a", "salt", "kind", "b", "hub", "lost", "gained"))
-        sets = {i: t for i, t in S.shingle_sets(_texts(batch)) if kind[i] < 2}
-        for i in range(len(a)):
+        for i, own in S.shingle_sets(_texts(batch)):  # of differences, empty
             if (a[i], salt[i]) != key:
                 key, probe, known = (a[i], salt[i]), np.empty(0, U), {}
             if kind[i] == 0:
-                probe = sets[i]
+                probe = own
                 continue
             near, dropped, added = False, b"", b""
             if kind[i] == 1:
-                shared = _among(sets[i], probe)
-                both, n = int(shared.sum()), len(sets[i])
+                shared = _among(own, probe)
+                both, n = int(shared.sum()), len(own)
                 known[b[i]] = both, n
                 if both >= NEAR * (len(probe) + n - both):
-                    near, added = True, sets[i][~shared].tobytes()
-                    dropped = probe[~_among(probe, sets[i])].tobytes()
+                    near, added = True, own[~shared].tobytes()
+                    dropped = probe[~_among(probe, own)].tobytes()
             else:
                 gone, come = np.frombuffer(lost[i], U), np.frombuffer(gained[i], U)
                 both, n = known[hub[i]]
@@ -232,7 +231,7 @@ class _Join:
 
     def __init__(self, docs: DataFrame):
         docs = docs.select("doc_id", "text")
-        self.described = settle(docs.mapInArrow(_describe, SET_SCHEMA))
+        self.described = settle(docs.mapInArrow(tidy(_describe), SET_SCHEMA))
         sets = self.described.where("sketch is null")
         filled = sets.where("n > 0")
         classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
@@ -310,7 +309,7 @@ class _Join:
             deltas = deltas.withColumns({"text": F.lit(None).cast("string"), "kind": F.lit(2)})
             rows = rows.unionByName(deltas)
         rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind", "b")
-        return settle(rows.mapInArrow(_compare, COMPARED))
+        return settle(rows.mapInArrow(tidy(_compare), COMPARED))
 
     def candidates(self, groups: DataFrame) -> DataFrame:
         counts = self.described.where("sketch is not null").select(F.lit("").alias("key"), F.col("sketch").alias("counts"))
@@ -318,10 +317,10 @@ class _Join:
         load = self.reps.sparkSession.sparkContext.broadcast(load)  # of fixed size
         rows = _prefix_rows_of(load)
         total = self.reps.agg(F.sum("n")).first()[0] or 0
-        listed = self.docs.df.join(groups, "doc_id").mapInArrow(rows, "element long, place long, doc_id long, comp long")
+        listed = self.docs.df.join(groups, "doc_id").mapInArrow(tidy(rows), "element long, place long, doc_id long, comp long")
         parts = parts_for(total // 5, LISTED_PER_PART, 8)
         lists = listed.repartition(parts, "element").sortWithinPartitions("element", "place")
-        return lists.mapInArrow(_probe_lists, "a long, b long").distinct()
+        return lists.mapInArrow(tidy(_probe_lists), "a long, b long").distinct()
 
 
 def _prefix_rows_of(load):

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import parts_for, settle
+from lakeloom.llm.common import parts_for, settle, tidy
 
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_BLOCK = 20_000
 #: Words kept with their ids in a worker; beyond it, the table starts anew.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 
 
 class _Gaps:
@@ -295,7 +295,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
-    return rows.mapInArrow(_cutter(tokenizer_path, capacity, with_ids), schema)
+    return rows.mapInArrow(tidy(_cutter(tokenizer_path, capacity, with_ids)), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
