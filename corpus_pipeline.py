@@ -16,8 +16,9 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; those without letters or without a main language go, and lang becomes the predicted one."""
-    found = language_id.predict_held_out(docs).where(f"lang_pred <> '{language_id.UNKNOWN}' and score >= {LEAST_SCORE}")
-    return _with(docs, found.select("doc_id", "lang_pred")).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    found = language_id.predict_held_out(docs, carry=("text", "source", "n_chars"))
+    found = found.where(f"lang_pred <> '{language_id.UNKNOWN}' and score >= {LEAST_SCORE}")
+    return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +38,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _with(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """docs with the decisions of their numbers; numbers are unique in documents."""
-    return docs.join(settle(decisions), "doc_id")
+    """docs with the decisions of their numbers; numbers are unique in documents.
+
+    There are as many decisions as documents, so they are never sent whole to every task: both
+    sides are dealt by number, at any size.
+    """
+    return docs.join(settle(decisions).hint("merge"), "doc_id")
 
 
 STAGES = [

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.llm.common import add_counts, settle, tidy
 
@@ -148,7 +149,7 @@ def mixtures(texts: list[bytes], table: np.ndarray) -> np.ndarray:
     return share
 
 
-def _predictor(langs: list[str], model):
+def _predictor(langs: list[str], model, carry: tuple[str, ...] = ()):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*langs, UNKNOWN], object)
         for batch in batches:
@@ -165,27 +166,49 @@ def _predictor(langs: list[str], model):
                     sets.append([langs[i] for i in some])
                     shares.append([float(row[i]) for i in some])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))],
-                names=["doc_id", "lang_pred", "score", "languages", "shares"],
+                [
+                    batch.column("doc_id").cast(pa.int64()),
+                    pa.array(pred, pa.string()),
+                    pa.array(score, pa.float64()),
+                    pa.array(sets, pa.list_(pa.string())),
+                    pa.array(shares, pa.list_(pa.float64())),
+                    *[batch.column(c) for c in carry],
+                ],
+                names=["doc_id", "lang_pred", "score", "languages", "shares", *carry],
             )
 
     return predict
 
 
-def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, labelled: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, lang_pred, score, languages, shares), one row for each row of docs(doc_id, text, ...).
 
     labelled(text, lang) trains the model, all of it. languages is the selected set with its shares
     of the text's letters, largest first; lang_pred the first of them, score its share. Null texts
     and texts without a letter, and all texts if nothing is learned, get 'und', 0 and empty lists.
-    Equal shares go to the language first by code point. doc_id may be null or repeated; other
-    columns are ignored; an empty table gives an empty table.
+    Equal shares go to the language first by code point. doc_id may be null or repeated. Columns
+    named in carry come along as they are (no join is needed to filter documents); others are
+    ignored; an empty table gives an empty table.
     """
     langs, table = train(labelled)
     model = docs.sparkSession.sparkContext.broadcast(table)  # of the number of languages
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, lang_pred string, score double, languages array<string>, shares array<double>"
-    return rows.mapInArrow(tidy(_predictor(langs, model)), schema)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        *[c for c in carry if c != "text"],
+    )
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", T.LongType()),
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("languages", T.ArrayType(T.StringType())),
+            T.StructField("shares", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    for c in carry:
+        schema.add(rows.schema[c])
+    return rows.mapInArrow(tidy(_predictor(langs, model, carry)), schema)
 
 
 def held_out(doc_id="doc_id"):
@@ -193,7 +216,7 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
-def predict_held_out(docs: DataFrame) -> DataFrame:
+def predict_held_out(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """identify() for all docs(doc_id, text, lang), trained on those that are not held out; adds held_out (null number: false, and not learned from)."""
-    out = identify(docs, docs.where(~held_out()))
+    out = identify(docs, docs.where(~held_out()), carry)
     return out.withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
