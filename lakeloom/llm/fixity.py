@@ -90,11 +90,12 @@ def audit(left: DataFrame, right: DataFrame, span: int = SPAN, fan: int = FAN) -
         bad = settle(_differing(x, y, ["file", "node"]))
     at = bad.withColumnRenamed("file", "f").withColumnRenamed("node", "n")
     hit = lambda t: t.join(at, t["file"].eqNullSafe(at["f"]) & (F.expr(f"offset div {span}") == at["n"]), "left_semi")
-    # Empty records share an offset with the one after them; they pair by their order there.
-    turn = Window.partitionBy("file", "offset").orderBy("length", "digest")
-    x, y = (hit(t).withColumn("turn", F.row_number().over(turn)).alias(n) for t, n in ((a, "x"), (b, "y")))
+    # Empty records share an offset with the one after them: they pair among themselves, by their order there.
+    turn = Window.partitionBy("file", "offset", "empty").orderBy("digest")
+    numbered = lambda t: hit(t).withColumn("empty", F.col("length") == 0).withColumn("turn", F.row_number().over(turn))
+    x, y = numbered(a).alias("x"), numbered(b).alias("y")
     same = F.lit(True)
-    for k in ("file", "offset", "turn"):
+    for k in ("file", "offset", "empty", "turn"):
         same &= F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}"))
     both = x.join(y, same, "full")
     there = F.col("x.digest").isNotNull(), F.col("y.digest").isNotNull()

@@ -81,7 +81,7 @@ class Builder:
         while at < n:
             m = _token.search(source, at) if at <= last else None
             if m is None:
-                self.text(source[at:])
+                self.text(re.split("<[!?]", source[at:], maxsplit=1)[0])  # a comment open at the end goes on to it
                 break
             if m.start() > at:
                 self.text(source[at : m.start()])
@@ -258,6 +258,7 @@ def _table(node: Node, out: Lines, depth: int) -> None:
                     _inside(y, out, depth)
     grid = []
     for row in _rows(node):
+        out.end(1)
         line: list[str] = []
         for cell in row.children:
             if not isinstance(cell, Node) or cell.tag not in CELLS:
