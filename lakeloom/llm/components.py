@@ -22,10 +22,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Settled, so that the join with it is dealt anew and adaptive execution can split a hub's edges.
+        least = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         # Large star: every larger neighbour of a node goes to the smallest of its neighbourhood.
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = settle(large.where("a > b").distinct())
+        large = settle(settle(large.where("a > b")).distinct())
         # Small star: a node and its smaller neighbours go to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(

@@ -234,7 +234,8 @@ class _Join:
         self.described = settle(docs.mapInArrow(tidy(_describe), SET_SCHEMA))
         sets = self.described.where("sketch is null")
         filled = sets.where("n > 0")
-        classes = filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
+        # Settled, so that a join with them is dealt anew and adaptive execution can split a hot group.
+        classes = settle(filled.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
         self.members = settle(
             filled.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2", "n"]).select("doc_id", "n", "rep")
         )
@@ -246,8 +247,8 @@ class _Join:
 
     def links(self) -> DataFrame:
         keyed = self.reps.select("doc_id", F.posexplode("keys").alias("k", "v"))
-        first = keyed.groupBy("k", "v").agg(F.min("doc_id").alias("a"), F.count("*").alias("c")).where("c > 1")
-        named = keyed.join(first, ["k", "v"]).where("doc_id > a").groupBy("doc_id", "a").count()
+        first = settle(keyed.groupBy("k", "v").agg(F.min("doc_id").alias("a"), F.count("*").alias("c")).where("c > 1"))
+        named = settle(keyed.join(first, ["k", "v"]).where("doc_id > a").select("doc_id", "a")).groupBy("doc_id", "a").count()
         best = named.groupBy("doc_id").agg(F.max(F.struct("count", (-F.col("a")).alias("m"))).alias("x"))
         tried = self.possible(best.select((-F.col("x.m")).alias("a"), F.col("doc_id").alias("b")))
         done = self.compare(tried, None)
