@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import language_id, mixing, ngram_join, packing
@@ -22,15 +22,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest number of each class of near duplicates."""
-    classes = ngram_join.jaccard_classes(docs)
-    return _with(docs, classes.where("doc_id = component_id").select("doc_id")).select(*COLUMNS)
+    """The document with the smallest number of each class of near duplicates.
+
+    Where numbers are missing or repeated, every row is a document of its own: null numbers come
+    after all others, and of equal ones the first row of the table stays.
+    """
+    if ngram_join.uniquely_numbered(docs):
+        classes = ngram_join.jaccard_classes(docs)
+        return _with(docs, classes.where("doc_id = component_id").select("doc_id")).select(*COLUMNS)
+    rows = settle(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+    classes = ngram_join.jaccard_classes(rows.select(F.col("row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = classes.groupBy("component_id").agg(F.min(order).alias("first")).select("first.row")
+    return rows.join(settle(first).hint("merge"), "row").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    copies = mixing.mix(docs).select("doc_id", "copies").where("copies > 0")
-    return _with(docs, copies).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    """Every row as often as the mix takes it, those with missing or repeated numbers too."""
+    copies = mixing.mix(docs).where("copies > 0")
+    if ngram_join.uniquely_numbered(docs):
+        taken = _with(docs, copies.select("doc_id", "copies"))
+    else:
+        # Rows of one number are told apart by their turn, which mix() counts in this order.
+        turn = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.col("source").asc_nulls_last(), "text")
+        rows = docs.withColumn("size", mixing.word_count(F.col("text"))).withColumn("nth", F.row_number().over(turn) - 1).alias("d")
+        copies = settle(copies.select("doc_id", "nth", "copies")).hint("merge").alias("c")
+        same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.nth") == F.col("c.nth"))
+        taken = rows.join(copies, same).select("d.*", "c.copies")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +58,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _with(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """docs with the decisions of their numbers; numbers are unique in documents.
+    """docs with the decisions of their numbers, which must be unique and not null.
 
     There are as many decisions as documents, so they are never sent whole to every task: both
     sides are dealt by number, at any size.

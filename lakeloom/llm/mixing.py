@@ -132,6 +132,11 @@ def sample_copies(rows: DataFrame, seed: int = 0) -> DataFrame:
     return out.select("key", "extra")
 
 
+def word_count(text):
+    """Number of words of a text; null: 0."""
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0) -> DataFrame:
     """(doc_id, nth, size, source_size, target, copies, taken), one row for each row of docs(doc_id, text, source, ...).
 
@@ -140,12 +145,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0)
     null doc_id or source is a value like others. An empty table gives an empty table; other columns are ignored.
     """
     spark = docs.sparkSession
-    words = F.regexp_count(F.col("text").cast("string"), F.lit(r"[^\x20\x09-\x0D]+"))
     sized = settle(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
-            F.coalesce(words, F.lit(0)).cast("long").alias("size"),
+            word_count(F.col("text")).alias("size"),
         )
     )
     totals = settle(sized.groupBy("source").agg(F.sum("size").alias("source_size")))

@@ -328,6 +328,11 @@ def _prefix_rows_of(load):
     return lambda batches: _prefix_rows(load.value)(batches)
 
 
+def uniquely_numbered(docs: DataFrame) -> bool:
+    """Whether every row of docs has a doc_id of its own."""
+    return docs.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty()
+
+
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of docs(doc_id, text, ...).
 
@@ -339,8 +344,7 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives an empty table.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    odd = docs.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count()
-    if not odd:
+    if uniquely_numbered(docs):
         join = _Join(docs)
         found = connected_components(join.links()).select(F.col("node").alias("rep"), "component")
         linked = join.members.join(found, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))

@@ -54,3 +54,28 @@ def test_run_equals_its_stages(spark, folder):
         docs = corpus_pipeline.settle(stage(spark, docs, path))
     key = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert sorted(map(tuple, docs.select(key).collect())) == sorted(map(tuple, corpus_pipeline.run(spark, path).select(key).collect()))
+
+
+def test_rows_without_numbers_of_their_own(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda: " ".join("the" + rng.choice("abcdef") + str(rng.randrange(90)) for _ in range(60))
+    one, other, third = text(), text(), text()
+    rows = [(7, one, "en", "s0", 0)] * 3 + [(7, other, "en", "s0", 0), (None, one, "en", "s1", 0), (None, third, "en", None, 0), (None, third, "en", None, 0), (9, third, "en", "s1", 0), (None, text(), None, "s1", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    first = corpus_pipeline.settle(stages[0](spark, docs, ""))
+    assert first.count() == len(rows)
+    second = corpus_pipeline.settle(stages[1](spark, first, ""))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in second.collect()) == sorted([(7, one), (7, other), (9, third), (0, rows[-1][1])])
+    for table in (first, second):
+        third_stage = stages[2](spark, table, "").collect()
+        mixed = mixing.mix(table).collect()
+        assert sum(r["copies"] for r in mixed) == len(third_stage)
+        assert sum(r["taken"] for r in mixed) == sum(len(r["text"].split()) for r in third_stage)
+        assert max(r["copies"] for r in mixed) <= 2
+    assert stages[3](spark, second, "").count() == 4
+
+
+def test_empty_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
