@@ -48,7 +48,8 @@ def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct((-F.char_length(text)).alias("n"), text.alias("rule"), F.col("rule_path").alias("path"), "v"))).alias("fits")
     )
     best = F.get(F.filter("fits", lambda r: F.startswith(F.col("path"), r["path"])), 0)
-    out = pages.join(listed, "host", "left").withColumn("best", best)
+    # Settled, so that pages are dealt anew and adaptive execution can split a hot host.
+    out = pages.join(settle(listed), "host", "left").withColumn("best", best)
     return out.withColumns({"rule": F.col("best.rule"), "rule_verdict": F.col("best.v")}).drop("fits", "best")
 
 
