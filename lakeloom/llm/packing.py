@@ -205,10 +205,18 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        # What the model is shown of a letter; up to U+00FF letters are one code point each and
+        # lower-case alike everywhere, so a word's form is that of its letters.
+        letters = [chr(c) for c in range(0x80, 0x100) if chr(c).isalpha()]
+        self.shown = str.maketrans({x: self._shown(x) for x in letters})
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
 
+    def _shown(self, letter: str) -> str:
+        plain = self.tokenizer.normalizer.normalize_str(letter)
+        return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(plain))
+
     def text(self, text: str) -> bytes:
         words = text.encode().split()
         ids = list(map(self.young.get, words))
@@ -229,12 +237,16 @@ class WordIds:
             stem = stem.lower()
             ids = self.stems.get(stem)
             if ids is None:
-                ids = self.stems[stem] = array("I", [t.id for t in self.model.tokenize(stem.decode())]).tobytes()
+                ids = self.stems[stem] = self.tokens(stem.decode())
             return ids + self.mark(word[len(stem) :])
-        # Up to U+00FF letters are one code point each and lower-case alike everywhere.
         letters = stem.decode()
         if letters.isalpha() and max(letters) < "\u0100":
-            return self.mark(letters.lower().encode()) + self.mark(word[len(stem) :])
+            low = letters.lower()
+            key = low.encode()
+            ids = self.stems.get(key)
+            if ids is None:
+                ids = self.stems[key] = self.tokens(low.translate(self.shown))
+            return ids + self.mark(word[len(stem) :])
         return self.encode(word.decode())
 
     def mark(self, part: bytes) -> bytes:
@@ -245,6 +257,9 @@ class WordIds:
             ids = self.stems[part] = self.encode(part.decode())
         return ids
 
+    def tokens(self, shown: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def encode(self, s: str) -> bytes:
         return array("I", self.tokenizer.encode(s, add_special_tokens=False).ids).tobytes()
 
