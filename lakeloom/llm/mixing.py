@@ -5,7 +5,8 @@ whole part is certain; its fraction is a probability. Documents are paired: word
 from one's probability to the other's, in the direction and amount that keep the source's expected
 words and every expectation, until one of the two is integral. Blocks of documents do this on
 their own, each leaves one fractional document, and these meet in a tree of blocks until one is
-left for each source. A source's taken words so miss its target by less than one document.
+left for each source. That one is rounded to the nearer side, so a source's taken words miss its
+target by half a document at most (its expectation alone is not kept).
 """
 
 from __future__ import annotations
@@ -99,16 +100,11 @@ def _round_block(seed: int):
     return go
 
 
-def _settle_last(rows: pd.DataFrame, seed: int) -> pd.DataFrame:
-    rows["extra"] = [int(_draw(seed, k) < p) for k, p in zip(rows["key"], rows["chance"], strict=True)]
-    return rows
-
-
 def sample_copies(rows: DataFrame, seed: int = 0) -> DataFrame:
     """(key, extra) for rows(group, key, size, chance): 0 or 1 with the given chances, in the tree of blocks.
 
-    Within a group the sum of size * extra differs from that of size * chance by less than the
-    largest size. key is unique and fixes the draw, so reruns agree. Rows of size 0 are rounded.
+    Within a group the sum of size * extra differs from that of size * chance by half the
+    largest size at most. key is unique and fixes the draw, so reruns agree. Rows of size 0 are rounded.
     """
     schema = "group long, key string, size long, chance double, extra int"
     total = rows.count()
@@ -125,7 +121,7 @@ def sample_copies(rows: DataFrame, seed: int = 0) -> DataFrame:
         if parts == 1:
             break
         parts = parts_for(parts, FAN_IN)
-    decided.append(level.mapInPandas(lambda frames: (_settle_last(f, seed) for f in frames), schema))
+    decided.append(level.withColumn("extra", (F.col("chance") >= 0.5).cast("int")))
     out = decided[0]
     for x in decided[1:]:
         out = out.unionByName(x)
