@@ -14,6 +14,9 @@ Method (set-relation skipping):
    intersection with a child follows from that with its parent:
    |a & child| = |a & parent| - |a & lost| + |a & gained|.
 5. Verified links form connected components.
+6. Where links are counted, all pairs of a class are: every link lies in a class. A member keeps
+   its difference to the class's first set, from which follows its intersection with any other
+   member; members meet in pairs of blocks, so no pair becomes a row.
 
 No list, group or candidate is capped. Results are the same for any partitioning.
 """
@@ -43,6 +46,9 @@ LONG_LIST = 64
 DOCS_PER_BUCKET = 4096
 #: Spark allows 100,000 buckets; beyond that many documents buckets grow, and sort-merge joins spill.
 MOST_BUCKETS = 50_000
+#: About as many members of a class meet as many others in one task; elements are counted so many at a time.
+CLASS_BLOCK = 256
+COUNTED_AT_ONCE = 2048
 _KEY_FACTORS = S.mix(np.arange(1, KEYS + 1, dtype=U)) | U(1)
 
 SET_SCHEMA = "doc_id long, n long, d1 long, d2 long, keys array<long>, bits binary, sketch binary"
@@ -226,6 +232,85 @@ def _probe_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [x[keep] for x in (element, place, ids, comp)]
 
 
+DIFFERENCES = "component long, block long, rep long, copies long, n long, delta binary"
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (component, block, kind): 0 the class's first text, 1 its members; the elements that one of both lacks."""
+    parent = np.empty(0, U)
+    types = [pa.int64()] * 5 + [pa.binary()]
+    names = ["component", "block", "rep", "copies", "n", "delta"]
+    for batch in batches:
+        out = []
+        component, block, kind, rep, copies = (batch.column(x).to_pylist() for x in ("component", "block", "kind", "doc_id", "copies"))
+        for i, own in S.shingle_sets(_texts(batch)):
+            if kind[i] == 0:
+                parent = own
+                continue
+            out.append((component[i], block[i], rep[i], copies[i], len(own), np.setxor1d(own, parent, assume_unique=True).tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of left with every set of right."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    sides = []
+    for sets in (left, right):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    for at in range(0, len(common), COUNTED_AT_ONCE):
+        some = common[at : at + COUNTED_AT_ONCE]
+        held = []
+        for (element, owner), sets in zip(sides, (left, right), strict=True):
+            inside = np.flatnonzero(_among(element, some))
+            has = np.zeros((len(sets), len(some)), np.float32)
+            has[owner[inside], np.searchsorted(some, element[inside])] = 1
+            held.append(has)
+        out += (held[0] @ held[1].T).astype(np.int64)
+    return out
+
+
+def count_block_links(left: tuple, right: tuple | None) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that each member of a block links to in the other one, both ways; without another one, in its own."""
+    own = right is None
+    (n, copies, delta), (m, others, gamma) = left, left if own else right
+    # |a & b| from the differences A and B to one parent: (|a| + |b| - |A| - |B|) / 2 + |A & B|.
+    both = (n - [len(x) for x in delta])[:, None] + (m - [len(x) for x in gamma])[None]
+    linked = both // 2 + _shared(delta, gamma) >= S.overlap_needed(n[:, None], m[None])
+    if own:
+        np.fill_diagonal(linked, False)
+    return linked @ others, copies @ linked
+
+
+def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (component, one, two): the members of two blocks of a class, or of one."""
+    key, held = None, []
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        sides = []
+        for side in dict.fromkeys(key[1:]):
+            rows = [r for r in held if r[0] == side]
+            if not rows:
+                return
+            ids, copies, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
+            sides.append((ids, (n, copies, [np.frombuffer(r[4], U) for r in rows])))
+        found = count_block_links(sides[0][1], sides[1][1] if len(sides) > 1 else None)
+        for (ids, _), links in zip(sides, found, strict=False):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links)], names=["rep", "links"])
+
+    for batch in batches:
+        columns = [batch.column(x).to_pylist() for x in ("component", "one", "two", "block", "rep", "copies", "n", "delta")]
+        for component, one, two, *row in zip(*columns, strict=True):
+            if (component, one, two) != key:
+                if held:
+                    yield from counted()
+                key, held = (component, one, two), []
+            held.append(row)
+    if held:
+        yield from counted()
+
+
 class _Join:
     """The steps over documents whose doc_id is neither null nor repeated."""
 
@@ -268,9 +353,25 @@ class _Join:
         groups = self.grouped(links)
         rest = self.candidates(groups).join(tried.unionAll(again), ["a", "b"], "left_anti")
         last = self.compare(self.possible(rest), near)
-        links = settle(links.unionAll(last.where("linked").select("a", "b")))
-        self.docs.drop()
-        return links
+        return settle(links.unionAll(last.where("linked").select("a", "b")))
+
+    def link_counts(self, classes: DataFrame) -> DataFrame:
+        """(rep, n_links): documents of a similarity of 0.8 or more with each representative, itself not counted; from classes(rep, component)."""
+        copies = settle(self.members.groupBy("rep").agg(F.count("*").alias("copies")))
+        sizes = settle(classes.groupBy("component").agg(F.expr(f"cast(ceil(count(*) / {CLASS_BLOCK}) as long)").alias("blocks")))
+        placed = classes.join(sizes, "component").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
+        placed = settle(placed.join(copies, "rep").select("rep", "component", "block", "copies"))
+        first = placed.select("component", "block").distinct()
+        first = first.select(F.col("component").alias("doc_id"), "component", "block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("copies"))
+        whole = placed.select(F.col("rep").alias("doc_id"), "component", "block", F.lit(1).alias("kind"), "copies")
+        rows = self.docs.df.join(first.unionAll(whole), "doc_id").repartition("component", "block")
+        rows = rows.sortWithinPartitions("component", "block", "kind", "doc_id")
+        deltas = settle(rows.mapInArrow(tidy(_differences), DIFFERENCES))
+        met = deltas.join(sizes, "component").withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
+        met = met.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other")
+        met = met.repartition("component", "one", "two").sortWithinPartitions("component", "one", "two")
+        found = settle(met.mapInArrow(tidy(_count_links), "rep long, links long")).groupBy("rep").agg(F.sum("links").alias("links"))
+        return copies.join(found, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
 
     def grouped(self, links: DataFrame) -> DataFrame:
         """(doc_id, comp) of every representative."""
@@ -343,26 +444,45 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     null doc_id names no node: component_id is null, and the row links nothing. Other columns are
     ignored; an empty table gives an empty table.
     """
+    return _classes(docs, []).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    """jaccard_classes with n_links: of how many other rows the text has a similarity of 0.8 or more.
+
+    Every pair counts, exact copies and pairs inside a class too. Rows with a null doc_id neither
+    have links nor count for others.
+    """
+    return _classes(docs, ["n_links"])
+
+
+def _classes(docs: DataFrame, counts: list[str]) -> DataFrame:
+    """The classes, with the number of links where counts names it."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if uniquely_numbered(docs):
         join = _Join(docs)
-        found = connected_components(join.links()).select(F.col("node").alias("rep"), "component")
-        linked = join.members.join(found, "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+        found = settle(connected_components(join.links()).select(F.col("node").alias("rep"), "component"))
+        linked = join.members.join(found, "rep", "left")
+        if counts:
+            linked = linked.join(settle(join.link_counts(found)), "rep")
+        join.docs.drop()
+        linked = linked.select("doc_id", F.coalesce("component", "rep").alias("component_id"), *counts)
         sizes = join.described.where("sketch is null").select("doc_id", F.col("n").alias("n_shingles"))
         out = sizes.join(linked, "doc_id", "left")
-        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts])
     numbered = settle(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("name"), "text"))
     named = numbered.where("name is not null")
-    rows = jaccard_classes(named.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    rows = _classes(named.select(F.col("row").alias("doc_id"), "text"), counts).withColumnRenamed("doc_id", "row")
     rows = settle(rows.join(named.select("row", "name"), "row"))
     # Rows tie names together; a class is named by its smallest name.
     tops = rows.groupBy("component_id").agg(F.min("name").alias("top"))
-    rows = settle(rows.join(tops, "component_id").select("name", "n_shingles", "top"))
+    rows = settle(rows.join(tops, "component_id").select("name", "n_shingles", "top", *counts))
     found = connected_components(rows.select(F.col("name").alias("a"), F.col("top").alias("b")))
     rows = rows.join(found, F.col("name") == F.col("node"), "left")
-    out = rows.select(F.col("name").alias("doc_id"), "n_shingles", F.coalesce("component", "top").alias("component_id"))
+    out = rows.select(F.col("name").alias("doc_id"), "n_shingles", F.coalesce("component", "top").alias("component_id"), *counts)
     lost = numbered.where("name is null").select("text").mapInArrow(_only_sizes, "n_shingles long")
-    return out.unionByName(lost.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    none = [F.lit(0).cast("long").alias(c) for c in counts]
+    return out.unionByName(lost.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"), *none))
 
 
 def _only_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

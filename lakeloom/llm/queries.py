@@ -63,7 +63,7 @@ def op4_merkle_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_classes(read_table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -210,6 +210,43 @@ def test_jaccard_classes_of_odd_tables(spark):
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in got) == [(0, 1, None), (1, 1, 1), (2, 1, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4), (4, 1, 4)]
 
 
+def brute_links(rows):
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    return [sum(i != j and bool(a) and 5 * len(a & b) >= 4 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_links_inside_a_class_are_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "CLASS_BLOCK", block)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(4))
+    base = [word() for _ in range(200)]
+    # A chain (each links to its nearest only), a family of near copies, exact copies, and others.
+    texts = [" ".join(base[i : i + 100]) for i in range(0, 60, 4)]
+    for _ in range(25):
+        w = [*base[100:], *base[:60]]
+        w[rng.randrange(160)] = word()
+        w[rng.randrange(160)] = word()
+        texts.append(" ".join(w))
+    texts += [texts[0], texts[0].upper(), texts[20], None, "", *near_copies(rng, 60)]
+    rows = list(zip(rng.sample(range(-50, 5000), len(texts)), texts, strict=True))
+    want = brute_links(rows)
+    assert len(set(want)) > 5
+    got = ngram_join.jaccard_join(docs_of(spark, [(i, t, "x", "s") for i, t in rows])).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: n for (i, _), n in zip(rows, want, strict=True)}
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_classes(rows)
+
+
+def test_links_of_odd_tables(spark):
+    assert ngram_join.jaccard_join(docs_of(spark, [])).count() == 0
+    rows = [(1, "a b c"), (2, "x y z"), (2, "a b c"), (3, "x y z"), (None, "a b c"), (4, None), (4, "q")]
+    got = ngram_join.jaccard_join(docs_of(spark, [(i, t, "x", "s") for i, t in rows])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["n_links"]) for r in got) == [(0, 0, 0), (1, 1, 1), (2, 1, 1), (2, 1, 1), (3, 1, 1), (4, 4, 0), (4, 4, 0)]
+
+
 def test_index_lists_lose_no_candidate():
     rng = np.random.default_rng(0)
     n = 900
