@@ -23,7 +23,7 @@ DEEPEST = 200
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title meta link iframe noembed noframes object video audio canvas svg datalist".split())
+UNSEEN = frozenset("head script style template noscript title meta link iframe noembed noframes object video audio canvas datalist".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp".split()
@@ -31,6 +31,12 @@ BLOCK = frozenset(
 SPACED = frozenset("blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul xmp".split())
 ENDS_P = BLOCK - frozenset("body html option optgroup tbody td tfoot th thead tr".split())
 CELLS = frozenset(("td", "th"))
+#: Elements of drawings that show nothing by themselves, and start tags that end a drawing.
+UNDRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+ENDS_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small "
+    "span strong strike sub sup table tt u ul var".split()
+)
 #: What a start tag closes first, and the elements that it does not look past.
 CLOSES = {
     "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu", "dir", "table", "td", "th"))),
@@ -47,10 +53,12 @@ CLOSES = {
 }
 STOPS_END = frozenset(("table", "td", "th", "caption", "button"))
 
+# A quote opens a quoted run only as an attribute's value, right after the "=" of a name.
 _token = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+)*+)>", re.S
 )
-_attr = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_attr = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|((?![\"'])[^\s>]++))?+)?+")
 _no_show = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
 
@@ -74,6 +82,7 @@ class Builder:
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
+        self.drawn = False
 
     def build(self, source: str) -> Node:
         at, n = 0, len(source)
@@ -94,7 +103,7 @@ class Builder:
                 self.end(tag)
                 continue
             self.start(tag, m["attrs"])
-            if tag in RAW:
+            if tag in RAW and self.open[-1].tag == tag:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 body = source[at : close.start() if close else n]
                 if tag in ("textarea", "title"):
@@ -107,7 +116,21 @@ class Builder:
     def text(self, s: str) -> None:
         self.open[-1].children.append(html.unescape(s) if "&" in s else s)
 
+    def drawing(self) -> int:
+        """The place of the open drawing whose content this is, 0 if it is none's."""
+        for i in range(len(self.open) - 1 if self.drawn else 0, 0, -1):
+            if self.open[i].tag == "svg":
+                return i
+            if self.open[i].tag in ("foreignobject", "desc"):
+                break
+        return 0
+
     def start(self, tag: str, attrs: str) -> None:
+        self.drawn = self.drawn or tag == "svg"
+        drawing = self.drawing()
+        if drawing and tag in ENDS_SVG:
+            del self.open[drawing:]
+            drawing = 0
         if tag in ("html", "body"):
             if tag == "body":
                 self.end("head")
@@ -132,7 +155,7 @@ class Builder:
         node = Node(tag, attrs)
         if tag in VOID:
             self.open[-1].children.append(node)
-        elif attrs.endswith("/") and tag in ("svg", "math", "path"):
+        elif attrs.endswith("/") and (drawing or tag in ("svg", "math", "path")):
             self.open[-1].children.append(node)
         else:
             self.push(node)
@@ -312,6 +335,8 @@ def _inside(x, out: Lines, depth: int = 0, pre: bool = False) -> None:
     elif tag == "img":
         if alt := (x.attr("alt") or "").strip():
             out.add(alt)
+    elif tag == "svg":
+        _svg(x, out, depth)
     elif tag == "table":
         out.end(2)
         _table(x, out, depth)
@@ -339,6 +364,19 @@ def _inside(x, out: Lines, depth: int = 0, pre: bool = False) -> None:
             _inside(y, out, depth, pre)
 
 
+def _svg(node: Node, out: Lines, depth: int) -> None:
+    """Of a drawing, its texts, each on a line of its own."""
+    for x in node.children:
+        if isinstance(x, Node) and x.tag not in UNDRAWN and visible(x):
+            if x.tag in ("text", "foreignobject"):
+                out.end(1)
+                for y in x.children:
+                    _inside(y, out, depth)
+                out.end(1)
+            else:
+                _svg(x, out, depth)
+
+
 def _list(node: Node, out: Lines, depth: int, numbered: bool) -> None:
     start = node.attr("start") if numbered and node.attrs else None
     n = int(start) if start and re.fullmatch(r"-?[0-9]{1,9}", start) else 1

@@ -333,6 +333,30 @@ def test_rendering(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<a title=Tom's>first words</a> it's <b>x</b>", "first words it's x"),
+        ("<p title=x'hidden>seen</p>", "seen"),
+        ("<a ' title=\"x>y\">in</a> <i class = 'a>b'>out</i>", "in out"),
+        ("a<!-->b<!--->c<!-- no -->d", "abcd"),
+        ("a<svg><title>no</title><defs/><style/><rect/><text x=1>drawn</text><desc>no</desc></svg>b", "a\ndrawn\nb"),
+        ("<svg><g><p>out</p>of it", "out\n\nof it"),
+    ],
+)
+def test_rendering_of_malformed_tags_and_drawings(page, text):
+    assert html_text.render(page) == text
+
+
+def test_no_word_is_lost_by_stray_quotes_and_empty_comments():
+    rng = random.Random(6)
+    bits = ["<b title=Tom's>", "</b>", "<p title=x\"y>", "</p>", "<i '>", "</i>", "<!-->", "<!--->", "<!-- no -->", "<u \">", "</u>", "it's", "\"", "<svg><text>", "</text></svg>", "<a href=\"x>y\">", "</a>"]
+    for _ in range(400):
+        page = "".join(rng.choice(bits) + f" w{i} " for i in range(40))
+        page = page.replace("</text></svg>", "") if "<svg>" not in page else page
+        assert sorted(re.findall(r"w\d+", html_text.render(page.replace("</text></svg>", "</text></svg><p>")))) == sorted(f"w{i}" for i in range(40))
+
+
 def test_rendering_survives_anything():
     assert html_text.render("<div>" * 50_000 + "deep") == "deep"
     assert html_text.render("<table><tr><td>" * 2000 + "deep").strip() == "deep"
