@@ -10,14 +10,12 @@ from lakeloom.llm.common import read_table, settle
 from lakeloom.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document stays if its first language covers at least this share of its letters.
-LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without letters or without a main language go, and lang becomes the predicted one."""
+    """Documents in a language or several; those in which none is found go, and lang becomes the predicted first one."""
     found = language_id.predict_held_out(docs, carry=("text", "source", "n_chars"))
-    found = found.where(f"lang_pred <> '{language_id.UNKNOWN}' and score >= {LEAST_SCORE}")
+    found = found.where(f"lang_pred <> '{language_id.UNKNOWN}'")
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -6,7 +6,7 @@ import pytest
 from test_operators import brute_classes, check_bins
 
 import corpus_pipeline
-from lakeloom.llm import mixing, packing
+from lakeloom.llm import language_id, mixing, packing
 from lakeloom.llm.queries import tokenizer_path
 
 
@@ -76,6 +76,20 @@ def test_rows_without_numbers_of_their_own(spark, tmp_path):
     assert stages[3](spark, second, "").count() == 4
 
 
+def test_documents_in_three_languages_stay(spark):
+    rng = random.Random(2)
+    words = {"aa": ["kala", "muna", "tiko", "sapu"], "bb": ["strx", "grmf", "plok", "drsh"], "cc": ["wiewy", "hjeoj", "zzuvi", "qoeb"]}
+    text = lambda la, n: " ".join(rng.choice(words[la]) for _ in range(n))
+    rows = [(i, text(la, 30), la, "s", 0) for i, la in enumerate(["aa", "bb", "cc"] * 40)]
+    mixed = " ".join([text("aa", 45), text("bb", 35), text("cc", 20)])
+    rows += [(900, mixed, None, "s", 0), (901, "12 34", "aa", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = language_id.predict_held_out(docs).where("doc_id = 900").first()
+    assert len(found["languages"]) == 3 and found["score"] < 0.5
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert set(kept) == {r[0] for r in rows} - {901} and kept[900] == found["lang_pred"]
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
