@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 import xml.etree.ElementTree as ElementTree
 from collections import OrderedDict
@@ -18,8 +17,6 @@ from lakeloom.operators.validate import ValidationError, check_required
 from lakeloom.plans.contract import SourceSpec
 from lakeloom.plans.spans import TimeWindow
 
-SAMPLE = 1000
-
 
 def location(root: str, source: SourceSpec) -> str:
     return "/".join(x.strip("/") if i else x.rstrip("/") for i, x in enumerate((root, source.path, source.glob)) if x)
@@ -33,18 +30,17 @@ def read_csv(spark: SparkSession, path: str, options: Mapping[str, str]) -> Data
 def read_envelope(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
     """JSON records whose raw_value holds {"payload": {...}} as text; the payload's fields become columns.
 
-    The fields are those of a bounded sample, or of options["schema"], a DDL string.
+    The fields are those of all payloads, or of options["schema"], a DDL string.
     """
     lines = spark.read.schema("raw_value string, bronze_ingested_at string").json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
     payload = F.get_json_object("raw_value", "$.payload")
-    ddl = options.get("schema")
-    if not ddl:
-        texts = [r[0] for r in lines.select(payload).where(payload.isNotNull()).limit(int(options.get("sample", SAMPLE))).collect()]
-        fields: dict[str, None] = {}
-        for t in texts:
-            fields.update(dict.fromkeys(json.loads(t)))
-        ddl = ", ".join(f"`{f}` string" for f in fields) or "_none string"
-    kept = lines.withColumn("payload", F.from_json(payload, ddl))
+    schema = options.get("schema")
+    if not schema:
+        # As many rows as there are fields reach the driver, in the order that payloads have them.
+        keys = lines.select(F.posexplode(F.json_object_keys(payload)).alias("at", "field")).groupBy("field").agg(F.min("at").alias("at"))
+        fields = [r["field"] for r in keys.orderBy("at", "field").collect()] or ["_none"]
+        schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+    kept = lines.withColumn("payload", F.from_json(payload, schema))
     return kept.select("payload.*", "bronze_ingested_at", "source_file")
 
 

@@ -166,3 +166,13 @@ def test_forecast(spark):
     assert out["results"]["ridge"]["mae"] < 0.5 < out["results"]["base"]["mae"]
     with pytest.raises(ValueError):
         train(df.limit(10), "ts", ["x"], "y", [])
+
+
+def test_envelope_fields_come_from_all_payloads(spark, tmp_path):
+    body = lambda i: json.dumps({"_meta": {}, "payload": {"k": str(i)} | ({"late.field": "x"} if i == 1500 else {})})
+    rows = [json.dumps({"raw_value": body(i), "bronze_ingested_at": "t"}) for i in range(1501)]
+    rows += [json.dumps({"raw_value": x, "bronze_ingested_at": "t"}) for x in ("{}", "no json")]
+    (tmp_path / "lines.json").write_text("\n".join(rows))
+    got = readers.read_envelope(spark, str(tmp_path), {})
+    assert got.columns == ["k", "late.field", "bronze_ingested_at", "source_file"]
+    assert [r["k"] for r in got.where("`late.field` is not null").collect()] == ["1500"] and got.count() == 1503
