@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import settle
 
 DAMPING = 0.85
-ROUNDS = 12
+#: Propagation ends when no host gains more than this share of its rank.
+TOLERANCE = 1e-9
 SETTLE_EVERY = 4
 THRESHOLD = 0.0
 
@@ -62,11 +63,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """(host, rank): personalised PageRank over links(src, dst, n) from seeds(host, weight); ranks of all sum to 1.
 
     Every round keeps damping of the rank on the links and sends the rest, and what hosts without
     links hold, back to the seeds. Hosts that nothing reaches are absent. No seeds: an empty table.
+    Without a number of rounds, ranks are those that more rounds would not change, at any distance.
     """
     total = seeds.agg(F.sum("weight")).first()[0]
     if not total:
@@ -78,6 +80,8 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     flow = settle(links.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("part")))
     seeds = settle(seeds)
     ranks = seeds.withColumnRenamed("seed", "rank")
+    if rounds is None:
+        return _settled_ranks(flow, ranks, damping)
     for i in range(1, rounds + 1):
         moved = flow.join(ranks, flow["src"] == ranks["host"]).groupBy(F.col("dst").alias("host"))
         moved = settle(moved.agg((damping * F.sum(F.col("part") * F.col("rank"))).alias("rank")))
@@ -89,6 +93,29 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     return ranks
 
 
+def _settled_ranks(flow: DataFrame, seeds: DataFrame, damping: float) -> DataFrame:
+    """The ranks that rounds tend to: what seeds send over paths of any length, scaled to sum to 1.
+
+    A host reached for the first time gains all of its rank, so rounds go on while any is new.
+    """
+    ranks, step = seeds, seeds
+    while True:
+        moved = flow.join(step, flow["src"] == step["host"]).groupBy(F.col("dst").alias("host"))
+        step = settle(moved.agg((damping * F.sum(F.col("part") * F.col("rank"))).alias("rank")))
+        both = ranks.withColumn("gain", F.lit(0.0)).unionByName(step.withColumn("gain", F.col("rank")))
+        both = settle(both.groupBy("host").agg(F.sum("rank").alias("rank"), F.sum("gain").alias("gain")))
+        ranks = both.select("host", "rank")
+        if both.where(F.col("gain") > TOLERANCE * F.col("rank")).isEmpty():
+            break
+    total = ranks.agg(F.sum("rank")).first()[0]
+    return ranks.select("host", (F.col("rank") / F.lit(total)).alias("rank"))
+
+
+def _significant(x: Column) -> Column:
+    """x to 12 significant digits, 0 for null: sums of any order agree, and no rank is too small to count."""
+    return F.when(x.isNull(), 0.0).otherwise(F.format_string("%.11e", x).cast("double"))
+
+
 def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row for each row of pages(page_id, url, html, ...).
 
@@ -106,7 +133,7 @@ def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD) -> D
     reverse = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     distrust = propagate(reverse, seeds.where("rule_verdict = 'block'").select("host", "weight"))
     scores = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "host", "full")
-    scores = settle(scores.select("host", *[F.round(F.coalesce(c, F.lit(0.0)), 12).alias(c) for c in ("trust", "distrust")]))
+    scores = settle(scores.select("host", *[_significant(F.col(c)).alias(c) for c in ("trust", "distrust")]))
     out = ruled.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     own = F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "trust", "distrust")

@@ -105,6 +105,29 @@ def test_links_make_hosts_distrusted(spark):
     assert got == {"good.com": "allow", "bad.net": "block", "fan.org": "block", "nice.org": "allow"}
 
 
+def test_distrust_reaches_hosts_at_any_distance_and_size(spark):
+    # A chain of 16 hosts to a blocked one, each linked from 100 others, which thin the distrust out.
+    pages = [(0, "http://bad.net/fr/", "")]
+    last = "bad.net"
+    for hop in range(16):
+        pages += [(0, f"http://h{hop}x{i}.org/", f"<a href='http://{last}/'>") for i in range(100 if hop < 9 else 1)]
+        last = f"h{hop}x0.org"
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = url_filter.judge(df, spark.createDataFrame(RULES, "host string, path string, verdict string")).collect()
+    assert {r["verdict"] for r in rows} == {"block"} and 0 < min(r["distrust"] for r in rows) < 1e-18
+
+
+def test_ranks_settle_where_many_rounds_end(spark):
+    links = spark.createDataFrame([("a", "b", 2), ("a", "c", 1), ("b", "c", 1), ("d", "c", 3), ("c", "e", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("a", 3), ("d", 1), ("z", 4)], "host string, weight long")
+    flow = {"b": {"a": 2 / 3}, "c": {"a": 1 / 3, "b": 1, "d": 1}, "e": {"c": 1}}
+    x = {"a": 3, "d": 1, "z": 4}
+    for h in "bce":
+        x[h] = sum(0.85 * p * x[s] for s, p in flow[h].items())
+    got = {r["host"]: r["rank"] for r in url_filter.propagate(links, seeds).collect()}
+    assert got.keys() == x.keys() and all(abs(got[h] - x[h] / sum(x.values())) < 1e-12 for h in x)
+
+
 # Operator 3
 
 
