@@ -145,15 +145,16 @@ def pull(get: Callable[[], tuple[int, bytes]], tries: int = 3, wait: float = 1.0
 
 
 def poll(page: Callable[[int, int], list[dict]], wanted: Callable[[dict], bool], key: Callable[[dict], str], seen: Seen, size: int = 100) -> Iterable[dict]:
-    """New wanted records, newest page first, until a page is short or brings nothing new."""
+    """New wanted records, newest page first, until a page is short or all its wanted records are known; pages without any are passed."""
     at = 0
     while True:
         rows = page(at, size)
-        fresh = [r for r in rows if wanted(r) and key(r) not in seen]
+        some = [r for r in rows if wanted(r)]
+        fresh = [r for r in some if key(r) not in seen]
         for r in fresh:
             yield r
             seen.add(key(r))  # only after the caller has taken it
-        if len(rows) < size or not fresh:
+        if len(rows) < size or (some and not fresh):
             return
         at += size
 

@@ -176,3 +176,10 @@ def test_envelope_fields_come_from_all_payloads(spark, tmp_path):
     got = readers.read_envelope(spark, str(tmp_path), {})
     assert got.columns == ["k", "late.field", "bronze_ingested_at", "source_file"]
     assert [r["k"] for r in got.where("`late.field` is not null").collect()] == ["1500"] and got.count() == 1503
+
+
+def test_polling_passes_pages_without_wanted_records():
+    rows = [{"k": i, "v": None if i < 5 else 1} for i in range(12)]
+    poll = lambda seen: [r["k"] for r in readers.poll(lambda at, n: rows[at : at + n], lambda r: r["v"], lambda r: r["k"], seen, 2)]
+    seen = readers.Seen()
+    assert poll(seen) == list(range(5, 12)) and poll(seen) == []
