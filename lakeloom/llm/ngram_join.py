@@ -461,11 +461,14 @@ def _classes(docs: DataFrame, counts: list[str]) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if uniquely_numbered(docs):
         join = _Join(docs)
-        found = settle(connected_components(join.links()).select(F.col("node").alias("rep"), "component"))
+        links = join.links()
+        if not counts:
+            join.docs.drop()
+        found = connected_components(links).select(F.col("node").alias("rep"), "component")
         linked = join.members.join(found, "rep", "left")
         if counts:
-            linked = linked.join(settle(join.link_counts(found)), "rep")
-        join.docs.drop()
+            linked = linked.join(settle(join.link_counts(settle(found))), "rep")
+            join.docs.drop()
         linked = linked.select("doc_id", F.coalesce("component", "rep").alias("component_id"), *counts)
         sizes = join.described.where("sketch is null").select("doc_id", F.col("n").alias("n_shingles"))
         out = sizes.join(linked, "doc_id", "left")
