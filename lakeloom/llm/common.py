@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -15,25 +17,68 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; where that is unset (tests), one of our own."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset, one of our own in
+    local mode (tests); on a cluster a machine's folder would be lost to the others, so that raises."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         place = tempfile.mkdtemp(prefix="lakeloom-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
 
 
-def settle(df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Statements run inside give their shuffle files back when they end, not when the driver collects garbage."""
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
+def _delete(spark: SparkSession, place: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Deletes at its end the tables settled inside, but for those settled with keep."""
+
+    _open: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        Scratch._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.remove(self)
+        for path in self.paths:
+            _delete(self.spark, path)
+
+
+def settle(df: DataFrame, *, keep: bool = False) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it again.
 
-    This cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
+    This cuts the lineage: a lost executor costs the tasks it ran, not the steps before. Within a
+    Scratch, the table is deleted at its end unless it is to be kept, for the next outer one if there is any.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lakeloom/{uuid.uuid4().hex}"
+    owners = Scratch._open[: len(Scratch._open) - keep]
+    if owners:
+        owners[-1].paths.append(path)
     schema = df.schema
-    df.write.partitionBy(*partition_by).parquet(path)
-    if partition_by:
-        return spark.read.parquet(path)
+    with _shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -53,14 +98,14 @@ class BucketedTable:
         spark = df.sparkSession
         self.spark, self.name = spark, f"lakeloom_{uuid.uuid4().hex}"
         self.path = f"{shared_folder(spark)}/lakeloom/{self.name}"
-        df.write.bucketBy(buckets, column).sortBy(column).option("path", self.path).saveAsTable(self.name)
+        with _shuffles_freed(spark):
+            df.write.bucketBy(buckets, column).sortBy(column).option("path", self.path).saveAsTable(self.name)
         self.df = spark.table(self.name)
 
     def drop(self) -> None:
         """Forget the table and delete its files; what was computed from it must be settled."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, self.path)
 
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:

@@ -9,14 +9,17 @@ Method (set-relation skipping):
 3. Index lists: each set enters the lists of its rarest elements (rarity from a fixed-size count
    sketch over all texts). A list is sorted by set size, then position; a probe skips whole
    blocks whose size or position rules out the needed overlap, and skips members of its own
-   group, whose links could not change any class.
+   group, whose links could not change any class. A list that the sketch says may be long is cut
+   into blocks of documents, and every pair of blocks is a list of its own.
 4. Candidates first meet an exact upper bound on parity bits, then the sets. For one probe, the
    intersection with a child follows from that with its parent:
    |a & child| = |a & parent| - |a & lost| + |a & gained|.
 5. Verified links form connected components.
 6. Where links are counted, all pairs of a class are: every link lies in a class. A member keeps
-   its difference to the class's first set, from which follows its intersection with any other
-   member; members meet in pairs of blocks, so no pair becomes a row.
+   its difference to the class's best linked set. Members of n elements that differ in d of them
+   have a margin n - 9 d, and two whose margins add up to 0 or more are linked for certain: these
+   pairs are counted by margin. The others follow from the differences; they meet in pairs of
+   blocks by margin, so no pair becomes a row.
 
 No list, group or candidate is capped. Results are the same for any partitioning.
 """
@@ -28,11 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm import shingles as S
-from lakeloom.llm.common import BucketedTable, add_counts, parts_for, settle, tidy
+from lakeloom.llm.common import BucketedTable, Scratch, add_counts, parts_for, settle, tidy
 from lakeloom.llm.components import connected_components
 
 U = np.uint64
@@ -40,6 +43,8 @@ SKETCH_BITS = 18
 KEYS = 6
 NEAR = 0.9
 LISTED_PER_PART = 400_000
+#: Lists that may be longer are cut into blocks of about so many documents.
+LIST_BLOCK = 1 << 18
 SALT_ROWS = 256
 #: Lists at least this long are probed block by block; shorter ones row against row, all lists at once.
 LONG_LIST = 64
@@ -145,8 +150,26 @@ def _could_link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield f.loc[np.array(keep, bool), ["a", "b"]]
 
 
+def split_lists(element: np.ndarray, load: np.ndarray, doc_id: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, list, side) of a document's elements: load bounds the length of each one's list.
+
+    A list that may exceed `block` is cut into blocks of documents; a row goes to all lists that
+    pair its block with one (side 0 or 1), itself included (side 2, as in lists that are whole).
+    """
+    cuts = -(-load // block)
+    if cuts.max(initial=1) <= 1:
+        return np.arange(len(element)), element, np.full(len(element), 2)
+    cuts = np.maximum(cuts, 1)
+    row = np.repeat(np.arange(len(element)), cuts)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    own = (int(S.mix(np.array([doc_id], np.int64).view(U))[0] >> U(11)) % cuts)[row]
+    cell = np.minimum(own, other) * cuts[row] + np.maximum(own, other) + 1
+    lists = np.where(cuts[row] > 1, S.mix(element[row].view(U) ^ (cell.astype(U) * U(S.BASE))).view(np.int64), element[row])
+    return row, lists, np.where(own == other, 2, (own > other).astype(np.int64))
+
+
 def _prefix_rows(load: np.ndarray):
-    """Each set's rarest elements with their positions: (element, size and position, document, group)."""
+    """Each set's rarest elements with their positions: (list, size, position and side, document, group)."""
     mask = U((1 << SKETCH_BITS) - 1)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +180,12 @@ def _prefix_rows(load: np.ndarray):
             ids, comps = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("doc_id", "comp"))
             parts, size = [], 0
             for i, t in S.shingle_sets(_texts(batch)):
-                k = S.prefix_length(len(t))
-                rare = t[np.lexsort((t, load[(t & mask).astype(np.int64)]))[:k]]
-                parts.append((rare.view(np.int64), (len(t) << 32) + np.arange(k), np.full(k, ids[i]), np.full(k, comps[i])))
-                size += k
+                weight = load[(t & mask).astype(np.int64)]
+                rare = np.lexsort((t, weight))[: S.prefix_length(len(t))]
+                at, lists, side = split_lists(t[rare].view(np.int64), weight[rare], ids[i], LIST_BLOCK)
+                place = ((len(t) << 32) + at << 2) + side
+                parts.append((lists, place, np.full(len(at), ids[i]), np.full(len(at), comps[i])))
+                size += len(at)
                 if size > 50_000:
                     yield batch_of(parts)
                     parts, size = [], 0
@@ -170,14 +195,15 @@ def _prefix_rows(load: np.ndarray):
     return rows
 
 
-def list_pairs(element, size, position, comp, first_new: int):
+def list_pairs(element, size, position, comp, first_new: int, side=None):
     """Pairs (i, j), j >= first_new, of one or more index lists that could be similar and are of different groups.
 
     Rows are sorted by element, size, position. A list all of one group is skipped whole; a probe
     leaves its list at the first size that is too large, and a block of one size at the first
-    position that is too late.
+    position that is too late. Rows of one side, 0 or 1, of a list that pairs two blocks meet elsewhere.
     """
     n = len(element)
+    side = np.full(n, 2) if side is None else side
     begins = np.flatnonzero(np.r_[True, element[1:] != element[:-1]]) if n else np.empty(0, np.int64)
     lengths = np.diff(np.r_[begins, n])
     mixed = np.minimum.reduceat(comp, begins) != np.maximum.reduceat(comp, begins) if n else np.empty(0, bool)
@@ -192,20 +218,33 @@ def list_pairs(element, size, position, comp, first_new: int):
         i, j = active, active + d
         need = S.overlap_needed(size[i], size[j])
         ok = (j >= first_new) & (comp[i] != comp[j]) & (size[i] - position[i] >= need) & (size[j] - position[j] >= need)
+        ok &= (side[i] != side[j]) | (side[i] == 2)
         left.append(i[ok])
         right.append(j[ok])
     active = active[active + LONG_LIST < ends[active]] if len(active) else active
     blocks = np.flatnonzero(np.r_[True, (element[1:] != element[:-1]) | (size[1:] != size[:-1])]) if len(active) else None
+    end = -1
     for i in active:
+        if ends[i] != end:
+            # Most rows of a long list are of one group: its probes meet only the rows of others.
+            begin, end = begins[np.searchsorted(begins, i, "right") - 1], ends[i]
+            groups, counts = np.unique(comp[begin:end], return_counts=True)
+            main = groups[counts.argmax()]
+            others = begin + np.flatnonzero(comp[begin:end] != main)
         k = np.searchsorted(blocks, i, "right") - 1
-        while k < len(blocks) and blocks[k] < ends[i]:
+        while k < len(blocks) and blocks[k] < end:
             start, stop = blocks[k], blocks[k + 1] if k + 1 < len(blocks) else n
             need = S.overlap_needed(size[i], size[start])
             if 4 * size[start] > 5 * size[i] or size[i] - position[i] < need:
                 break
             stop = start + np.searchsorted(position[start:stop], size[start] - need, "right")
-            j = np.arange(max(start, i + LONG_LIST, first_new), stop)
-            j = j[comp[j] != comp[i]]
+            first = max(start, i + LONG_LIST, first_new)
+            if comp[i] == main:
+                j = others[np.searchsorted(others, first) : np.searchsorted(others, stop)]
+            else:
+                j = np.arange(first, stop)
+                j = j[comp[j] != comp[i]]
+            j = j[(side[j] != side[i]) | (side[j] == 2)]
             left.append(np.full(len(j), i))
             right.append(j)
             k += 1
@@ -223,8 +262,8 @@ def _probe_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         first = len(held[0])
         element, place, ids, comp = (np.concatenate(x) for x in zip(held, new, strict=True))
-        size, position = place >> 32, place & 0xFFFFFFFF
-        i, j = list_pairs(element, size, position, comp, first)
+        size, position, side = place >> 34, place >> 2 & 0xFFFFFFFF, place & 3
+        i, j = list_pairs(element, size, position, comp, first, side)
         if len(i):
             pairs = np.unique(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
@@ -232,22 +271,23 @@ def _probe_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [x[keep] for x in (element, place, ids, comp)]
 
 
-DIFFERENCES = "component long, block long, rep long, copies long, n long, delta binary"
+DIFFERENCES = "component long, rep long, copies long, n long, margin long, delta binary"
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (component, block, kind): 0 the class's first text, 1 its members; the elements that one of both lacks."""
+    """Rows sorted by (component, part, kind): 0 the class's best linked text, 1 its members; the elements that one of both lacks."""
     parent = np.empty(0, U)
     types = [pa.int64()] * 5 + [pa.binary()]
-    names = ["component", "block", "rep", "copies", "n", "delta"]
+    names = ["component", "rep", "copies", "n", "margin", "delta"]
     for batch in batches:
         out = []
-        component, block, kind, rep, copies = (batch.column(x).to_pylist() for x in ("component", "block", "kind", "doc_id", "copies"))
+        component, kind, rep, copies = (batch.column(x).to_pylist() for x in ("component", "kind", "doc_id", "copies"))
         for i, own in S.shingle_sets(_texts(batch)):
             if kind[i] == 0:
                 parent = own
                 continue
-            out.append((component[i], block[i], rep[i], copies[i], len(own), np.setxor1d(own, parent, assume_unique=True).tobytes()))
+            delta = np.setxor1d(own, parent, assume_unique=True)
+            out.append((component[i], rep[i], copies[i], len(own), len(own) - 9 * len(delta), delta.tobytes()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
@@ -272,12 +312,13 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def count_block_links(left: tuple, right: tuple | None) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that each member of a block links to in the other one, both ways; without another one, in its own."""
+    """Documents that each member of a block links to in the other one, both ways, but for pairs linked for certain; without another one, in its own."""
     own = right is None
-    (n, copies, delta), (m, others, gamma) = left, left if own else right
+    (n, copies, margin, delta), (m, others, margins, gamma) = left, left if own else right
     # |a & b| from the differences A and B to one parent: (|a| + |b| - |A| - |B|) / 2 + |A & B|.
     both = (n - [len(x) for x in delta])[:, None] + (m - [len(x) for x in gamma])[None]
     linked = both // 2 + _shared(delta, gamma) >= S.overlap_needed(n[:, None], m[None])
+    linked &= margin[:, None] + margins[None] < 0
     if own:
         np.fill_diagonal(linked, False)
     return linked @ others, copies @ linked
@@ -293,14 +334,14 @@ def _count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = [r for r in held if r[0] == side]
             if not rows:
                 return
-            ids, copies, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-            sides.append((ids, (n, copies, [np.frombuffer(r[4], U) for r in rows])))
+            ids, copies, n, margin = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3, 4))
+            sides.append((ids, (n, copies, margin, [np.frombuffer(r[5], U) for r in rows])))
         found = count_block_links(sides[0][1], sides[1][1] if len(sides) > 1 else None)
         for (ids, _), links in zip(sides, found, strict=False):
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links)], names=["rep", "links"])
 
     for batch in batches:
-        columns = [batch.column(x).to_pylist() for x in ("component", "one", "two", "block", "rep", "copies", "n", "delta")]
+        columns = [batch.column(x).to_pylist() for x in ("component", "one", "two", "block", "rep", "copies", "n", "margin", "delta")]
         for component, one, two, *row in zip(*columns, strict=True):
             if (component, one, two) != key:
                 if held:
@@ -355,23 +396,47 @@ class _Join:
         last = self.compare(self.possible(rest), near)
         return settle(links.unionAll(last.where("linked").select("a", "b")))
 
-    def link_counts(self, classes: DataFrame) -> DataFrame:
-        """(rep, n_links): documents of a similarity of 0.8 or more with each representative, itself not counted; from classes(rep, component)."""
+    def link_counts(self, classes: DataFrame, links: DataFrame) -> DataFrame:
+        """(rep, n_links): documents of a similarity of 0.8 or more with each representative, itself not counted; from classes(rep, component) and all links between classes' groups."""
         copies = settle(self.members.groupBy("rep").agg(F.count("*").alias("copies")))
-        sizes = settle(classes.groupBy("component").agg(F.expr(f"cast(ceil(count(*) / {CLASS_BLOCK}) as long)").alias("blocks")))
-        placed = classes.join(sizes, "component").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
-        placed = settle(placed.join(copies, "rep").select("rep", "component", "block", "copies"))
-        first = placed.select("component", "block").distinct()
-        first = first.select(F.col("component").alias("doc_id"), "component", "block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("copies"))
-        whole = placed.select(F.col("rep").alias("doc_id"), "component", "block", F.lit(1).alias("kind"), "copies")
-        rows = self.docs.df.join(first.unionAll(whole), "doc_id").repartition("component", "block")
-        rows = rows.sortWithinPartitions("component", "block", "kind", "doc_id")
+        ends = links.select(F.col("a").alias("rep")).unionAll(links.select(F.col("b").alias("rep")))
+        degree = settle(ends.groupBy("rep").agg(F.count("*").alias("degree")))
+        best = F.max(F.struct("degree", (-F.col("rep")).alias("m")))
+        sizes = classes.join(degree, "rep").groupBy("component").agg(best.alias("best"), F.count("*").alias("members"))
+        sizes = settle(sizes.select("component", (-F.col("best.m")).alias("parent"), F.expr(f"cast(ceil(members / {CLASS_BLOCK}) as long)").alias("parts")))
+        placed = classes.join(sizes, "component").withColumn("part", F.expr("pmod(xxhash64(rep), parts)"))
+        placed = settle(placed.join(copies, "rep").select("rep", "component", "parent", "part", "copies"))
+        first = placed.select("component", "parent", "part").distinct()
+        first = first.select(F.col("parent").alias("doc_id"), "component", "part", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("copies"))
+        whole = placed.select(F.col("rep").alias("doc_id"), "component", "part", F.lit(1).alias("kind"), "copies")
+        rows = self.docs.df.join(first.unionAll(whole), "doc_id").repartition("component", "part")
+        rows = rows.sortWithinPartitions("component", "part", "kind", "doc_id")
         deltas = settle(rows.mapInArrow(tidy(_differences), DIFFERENCES))
-        met = deltas.join(sizes, "component").withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
+        # By class and margin: members with smaller ones, and copies whose margins make up for this one.
+        margins = settle(deltas.groupBy("component", "margin").agg(F.count("*").alias("members"), F.sum("copies").alias("here")))
+        before = Window.partitionBy("component").orderBy("margin").rowsBetween(Window.unboundedPreceding, -1)
+        margins = settle(margins.withColumn("before", F.coalesce(F.sum("members").over(before), F.lit(0))))
+        wanted = margins.select("component", (-F.col("margin")).alias("at"), F.lit(1).alias("asks"), F.lit(0).cast("long").alias("here"))
+        there = margins.select("component", F.col("margin").alias("at"), F.lit(0).alias("asks"), "here")
+        above = Window.partitionBy("component").orderBy(F.desc("at"), "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sure = there.unionAll(wanted).withColumn("sure", F.sum("here").over(above)).where("asks = 1")
+        sure = settle(sure.select("component", (-F.col("at")).alias("margin"), "sure"))
+        placed = deltas.join(margins.drop("here"), ["component", "margin"]).join(sure, ["component", "margin"])
+        placed = settle(placed.withColumn("block", F.expr(f"(before + pmod(xxhash64(rep), members)) div {CLASS_BLOCK}")).drop("before", "members"))
+        # The last block of a class whose least margin doesn't make up for this block's.
+        least = settle(placed.groupBy("component", "block").agg(F.min("margin").alias("least")))
+        asked = least.select("component", (-F.col("least")).alias("at"), F.lit(0).alias("kind"), "block", F.lit(None).cast("long").alias("last"))
+        known = least.select("component", F.col("least").alias("at"), F.lit(1).alias("kind"), "block", F.col("block").alias("last"))
+        below = Window.partitionBy("component").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        reach = asked.unionAll(known).withColumn("last", F.max("last").over(below)).where("kind = 0 and last is not null")
+        met = placed.drop("sure").join(settle(reach.select("component", "block", "last")), ["component", "block"])
+        met = met.withColumn("other", F.explode(F.expr("sequence(0L, last)"))).drop("last")
         met = met.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other")
         met = met.repartition("component", "one", "two").sortWithinPartitions("component", "one", "two")
-        found = settle(met.mapInArrow(tidy(_count_links), "rep long, links long")).groupBy("rep").agg(F.sum("links").alias("links"))
-        return copies.join(found, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        found = settle(settle(met.mapInArrow(tidy(_count_links), "rep long, links long")).groupBy("rep").agg(F.sum("links").alias("links")))
+        inside = placed.select("rep", (F.col("sure") - F.when(F.col("margin") >= 0, F.col("copies")).otherwise(0)).alias("sure")).join(found, "rep", "left")
+        inside = settle(inside.select("rep", (F.col("sure") + F.coalesce("links", F.lit(0))).alias("inside")))
+        return copies.join(inside, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("inside", F.lit(0))).alias("n_links"))
 
     def grouped(self, links: DataFrame) -> DataFrame:
         """(doc_id, comp) of every representative."""
@@ -389,8 +454,18 @@ class _Join:
         return settle(both.mapInPandas(_could_link, "a long, b long"))
 
     def compare(self, pairs: DataFrame, near: DataFrame | None) -> DataFrame:
-        """Exact comparison of every pair; texts travel once for a probe and its block of partners."""
+        """Exact comparison of every pair; texts travel once for a probe and its block of partners.
+
+        Of a pair, the document with more partners is the probe, so that a hub's text is not sent
+        to each of them. In the first round (near is None) it is a, of which every b has but one.
+        """
         if near is not None:
+            ends = pairs.select(F.col("a").alias("x")).unionAll(pairs.select(F.col("b").alias("x")))
+            busy = settle(ends.groupBy("x").agg(F.count("*").alias("c")).where("c > 1"))
+            pairs = pairs.join(busy.select(F.col("x").alias("a"), F.col("c").alias("c_a")), "a", "left")
+            pairs = pairs.join(busy.select(F.col("x").alias("b"), F.col("c").alias("c_b")), "b", "left")
+            turned = F.coalesce("c_b", F.lit(1)) > F.coalesce("c_a", F.lit(1))
+            pairs = settle(pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")))
             pairs = pairs.join(near.select(F.col("child").alias("b"), "hub"), "b", "left")
             shared = pairs.where("hub is not null and hub <> a").groupBy("a", "hub").count().where("count > 1").select("a", "hub", F.lit(True).alias("derive"))
             pairs = pairs.join(shared, ["a", "hub"], "left")
@@ -457,22 +532,30 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame, counts: list[str]) -> DataFrame:
-    """The classes, with the number of links where counts names it."""
+    """The classes, with the number of links where counts names it. All tables written on the way are deleted."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if uniquely_numbered(docs):
-        join = _Join(docs)
-        links = join.links()
-        if not counts:
-            join.docs.drop()
-        found = connected_components(links).select(F.col("node").alias("rep"), "component")
-        linked = join.members.join(found, "rep", "left")
-        if counts:
-            linked = linked.join(settle(join.link_counts(settle(found))), "rep")
-            join.docs.drop()
-        linked = linked.select("doc_id", F.coalesce("component", "rep").alias("component_id"), *counts)
-        sizes = join.described.where("sketch is null").select("doc_id", F.col("n").alias("n_shingles"))
-        out = sizes.join(linked, "doc_id", "left")
-        return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts])
+    with Scratch(docs.sparkSession):
+        return settle(_of_numbered(docs, counts) if uniquely_numbered(docs) else _of_rows(docs, counts), keep=True)
+
+
+def _of_numbered(docs: DataFrame, counts: list[str]) -> DataFrame:
+    join = _Join(docs)
+    links = join.links()
+    if not counts:
+        join.docs.drop()
+    found = settle(connected_components(links).select(F.col("node").alias("rep"), "component"))
+    linked = join.members.join(found, "rep", "left")
+    if counts:
+        linked = linked.join(settle(join.link_counts(found, links)), "rep")
+        join.docs.drop()
+    linked = linked.select("doc_id", F.coalesce("component", "rep").alias("component_id"), *counts)
+    sizes = join.described.where("sketch is null").select("doc_id", F.col("n").alias("n_shingles"))
+    out = sizes.join(linked, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts])
+
+
+def _of_rows(docs: DataFrame, counts: list[str]) -> DataFrame:
+    """The classes where numbers are missing or repeated: rows are numbered anew."""
     numbered = settle(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("name"), "text"))
     named = numbered.where("name is not null")
     rows = _classes(named.select(F.col("row").alias("doc_id"), "text"), counts).withColumnRenamed("doc_id", "row")

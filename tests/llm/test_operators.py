@@ -263,6 +263,26 @@ def test_links_inside_a_class_are_counted(spark, monkeypatch, block):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_classes(rows)
 
 
+def test_split_lists_bring_all_pairs_together():
+    plain = ngram_join.split_lists
+    row, lists, side = plain(np.arange(3), np.array([1, 5, 9]), 7, 4)
+    assert row.tolist() == [0, 1, 1, 2, 2, 2] and lists[0] == 0 and len(set(lists.tolist())) == 6 and side[0] == 2
+    # Two documents meet in exactly one list of an element, whatever their blocks.
+    placed = {d: list(zip(*(x.tolist() for x in plain(np.array([42]), np.array([100]), d, 8)), strict=True)) for d in range(60)}
+    for a, b in itertools.combinations(placed, 2):
+        met = [(s, t) for _, x, s in placed[a] for _, y, t in placed[b] if x == y and (s != t or s == 2)]
+        assert len(met) == 1
+
+
+def test_operators_leave_no_tables_behind(spark):
+    from lakeloom.llm import common
+
+    folder = f"{common.shared_folder(spark)}/lakeloom".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    ngram_join.jaccard_join(docs_of(spark, [(i, t, "x", "s") for i, t in enumerate(near_copies(random.Random(4), 40))])).count()
+    assert len(set(os.listdir(folder)) - before) == 1  # the result
+
+
 def test_links_of_odd_tables(spark):
     assert ngram_join.jaccard_join(docs_of(spark, [])).count() == 0
     rows = [(1, "a b c"), (2, "x y z"), (2, "a b c"), (3, "x y z"), (None, "a b c"), (4, None), (4, "q")]
