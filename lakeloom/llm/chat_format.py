@@ -6,8 +6,9 @@ that the placeholder expands to. Turns of a conversation are marked and joined;
 covers the text parts of assistant turns, as spans of code points of the formatted string.
 
 Escaping is reversible: a backslash doubles, then "<|" becomes "<\\|" and, in roles, a line feed
-becomes "<\\+". Backslashes of the first step come in pairs, so a single one after "<" is always
-one that the second step put there. No escaped text holds "<|", so marks can't be forged.
+becomes "<\\+". A "<" that ends a part becomes "<\\~" if another part follows, so that no mark comes
+about where parts meet. Backslashes of the first step come in pairs, so a single one after "<" is
+always one that the second step put there. No turn's escaped text holds "<|": marks can't be forged.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
+    plain = F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("<\\~"), F.lit("<"))
+    return F.replace(plain, F.lit("\\\\"), F.lit("\\"))
 
 
 def escape_role(role: Column) -> Column:
@@ -44,9 +46,10 @@ def text_parts(text: Column) -> Column:
     ).cast(PART)
 
 
-def _visit(part: Column) -> Column:
+def _visit(part: Column, followed: Column) -> Column:
     """What a part leaves in the string. A kind that is null or unknown counts as text."""
     out = escape(F.coalesce(part["text"], F.lit("")))
+    out = F.when(followed & F.endswith(out, F.lit("<")), F.concat(out, F.lit("\\~"))).otherwise(out)
     for kind, (mark, _) in ATTACHMENTS.items():
         out = F.when(part["kind"] == kind, F.lit(mark)).otherwise(out)
     return out
@@ -76,7 +79,7 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     empty = F.array().cast(PART)
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("parts", empty).alias("parts"))
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
-    rows = rows.withColumn("head", head).withColumn("bodies", F.transform("parts", _visit))
+    rows = rows.withColumn("head", head).withColumn("bodies", F.transform("parts", lambda p, i: _visit(p, i < F.size("parts") - 1)))
     rows = rows.withColumn("body", F.concat(F.col("head"), F.array_join("bodies", ""), F.lit(END + "\n")))
     # The same order everywhere: the window sorts by content, the collected list by the place it gives.
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "body", F.to_json("parts"))

@@ -68,8 +68,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    forged = [(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)]
-    turns = turns.unionByName(spark.createDataFrame(forged, turns.schema))
+    forged = "SELECT * FROM VALUES (-1L, 0L, 'user', :f), (-1L, 1L, 'assistant', :f) AS t(conv_id, turn, role, text)"
+    turns = turns.unionByName(spark.sql(forged, args={"f": FORGED}))
     turns = turns.select("conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts"))
     chats = chat_format.format_chats(turns)
     read = chats.select("conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
