@@ -2,12 +2,16 @@
 
 A tree builder with implied tags makes a tree of any input; a renderer walks what is visible.
 Blocks stand on lines of their own, paragraphs, headings, lists and tables between blank lines,
-list items after a mark and indented by depth, table cells in aligned columns. Runs of white
-space count as one space, except in preformatted text.
+list items after a mark and indented by depth, table cells in aligned columns. Runs of ASCII
+white space count as one space, except in preformatted text; other spaces are text.
+
+What hides text is the element's kind, its hidden attribute and its own style: display:none hides
+all inside, visibility:hidden what doesn't set it visible again. Style sheets are not considered.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import unicodedata
@@ -17,8 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements nested deeper than this join their ancestor at this depth; no text is lost.
+#: Of elements nested deeper than this, visible text and line breaks are kept at this depth.
 DEEPEST = 200
+#: Cells wider than this don't widen their column, so one long cell doesn't pad all rows.
+WIDEST = 120
+#: A table with fewer than one of so many places filled is written without padding.
+SPARSEST = 64
+#: Cells that reach into rows below and are heeded at once; more only shift columns.
+MOST_SPANS = 1000
 
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +61,8 @@ CLOSES = {
     "tbody": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup")), frozenset(("table",))),
     "tfoot": (frozenset(("thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup")), frozenset(("table",))),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TABLE_PARTS = frozenset("table tr tbody thead tfoot td th".split())
 STOPS_END = frozenset(("table", "td", "th", "caption", "button"))
 
 # A quote opens a quoted run only as an attribute's value, right after the "=" of a name.
@@ -59,7 +71,27 @@ _token = re.compile(
     r"(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+)*+)>", re.S
 )
 _attr = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|((?![\"'])[^\s>]++))?+)?+")
-_no_show = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_display = re.compile(r"(?:^|[;\s])display\s*:\s*([a-z-]+)", re.I)
+_visibility = re.compile(r"(?:^|[;\s])visibility\s*:\s*(visible|hidden|collapse)", re.I)
+_blanks = re.compile(r"[ \t\n\f\r]+")
+_zeros = re.compile(r"(&#[xX]?)0+(?=[0-9a-fA-F])")
+_beyond = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
+_number = re.compile(r"[ \t\n\f\r]*\+?0*([0-9]*)")
+
+
+def unescape(s: str) -> str:
+    """Character references replaced; numbers of any length that name no character are U+FFFD."""
+    if "&#" in s:
+        s = _beyond.sub("\ufffd", _zeros.sub(r"\1", s))
+    return html.unescape(s) if "&" in s else s
+
+
+def number(s: str | None, default: int, most: int) -> int:
+    """The digits that an attribute's value begins with, at most `most`."""
+    digits = _number.match(s)[1] if s else ""
+    if not digits:
+        return 0 if s and "0" in s.strip()[:1] else default
+    return min(int(digits), most) if len(digits) < 10 else most
 
 
 class Node:
@@ -72,17 +104,22 @@ class Node:
         """The first value of an attribute; empty if it has none, None if it isn't there."""
         for m in _attr.finditer(self.attrs):
             if m[1].lower() == name:
-                return html.unescape(m[2] or m[3] or m[4] or "")
+                return unescape(m[2] or m[3] or m[4] or "")
         return None
 
 
 class Builder:
-    """A tree from any input: implied start and end tags, void and raw elements, stray end tags ignored."""
+    """A tree from any input: implied start and end tags, void and raw elements, stray end tags ignored.
+
+    Open elements are found by name in lists of their places, so that no nesting makes it slow.
+    """
 
     def __init__(self):
         self.root = Node("html")
         self.open = [self.root]
-        self.drawn = False
+        self.places: dict[str, list[int]] = {}
+        #: From which place on, beyond DEEPEST, open elements are hidden.
+        self.hidden: int | None = None
 
     def build(self, source: str) -> Node:
         at, n = 0, len(source)
@@ -107,34 +144,39 @@ class Builder:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 body = source[at : close.start() if close else n]
                 if tag in ("textarea", "title"):
-                    body = html.unescape(body)
-                self.open[-1].children.append(body)
-                self.open.pop()
+                    body = unescape(body)
+                if tag not in UNSEEN:
+                    self.add(body)
+                self.pop_to(len(self.open) - 1)
                 at = close.end() if close else n
         return self.root
 
+    def add(self, x) -> None:
+        """A text or an element without content, where the open element is."""
+        if self.hidden is None:
+            self.open[min(len(self.open) - 1, DEEPEST)].children.append(x)
+
     def text(self, s: str) -> None:
-        self.open[-1].children.append(html.unescape(s) if "&" in s else s)
+        self.add(unescape(s))
+
+    def last(self, tags) -> int:
+        """The innermost place where one of these is open, 0 if none is."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def drawing(self) -> int:
         """The place of the open drawing whose content this is, 0 if it is none's."""
-        for i in range(len(self.open) - 1 if self.drawn else 0, 0, -1):
-            if self.open[i].tag == "svg":
-                return i
-            if self.open[i].tag in ("foreignobject", "desc"):
-                break
-        return 0
+        at = self.last(("svg",))
+        return at if at > self.last(("foreignobject", "desc")) else 0
 
     def start(self, tag: str, attrs: str) -> None:
-        self.drawn = self.drawn or tag == "svg"
         drawing = self.drawing()
         if drawing and tag in ENDS_SVG:
-            del self.open[drawing:]
+            self.pop_to(drawing)
             drawing = 0
         if tag in ("html", "body"):
             if tag == "body":
                 self.end("head")
-            if tag == "body" and not any(x.tag == "body" for x in self.open):
+            if tag == "body" and not self.places.get("body"):
                 self.push(Node(tag, attrs))
             return
         if tag in ENDS_P:
@@ -143,8 +185,8 @@ class Builder:
                 self.end("head")
         if tag in CLOSES:
             self.close(*CLOSES[tag])
-        if tag[0] == "h" and tag in ("h1", "h2", "h3", "h4", "h5", "h6") and self.open[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            self.open.pop()
+        if tag in HEADINGS and self.open[-1].tag in HEADINGS:
+            self.pop_to(len(self.open) - 1)
         here = self.open[-1].tag
         if tag == "tr" and here == "table":
             self.push(Node("tbody"))
@@ -153,74 +195,91 @@ class Builder:
                 self.push(Node("tbody"))
             self.push(Node("tr"))
         node = Node(tag, attrs)
-        if tag in VOID:
-            self.open[-1].children.append(node)
-        elif attrs.endswith("/") and (drawing or tag in ("svg", "math", "path")):
-            self.open[-1].children.append(node)
+        if tag in VOID or (attrs.endswith("/") and (drawing or tag in ("svg", "math", "path"))):
+            self.add(node)
         else:
             self.push(node)
 
     def push(self, node: Node) -> None:
-        if len(self.open) > DEEPEST and node.tag not in RAW:
-            self.open.pop()
-        self.open[-1].children.append(node)
+        at = len(self.open)
+        if at <= DEEPEST:
+            self.open[-1].children.append(node)
+        elif self.hidden is None:
+            shown = visible(node)
+            if shown and node.tag in BLOCK:
+                self.add(Node("div"))
+            if not shown or dark(node, False):
+                self.hidden = at
         self.open.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+
+    def pop_to(self, at: int) -> None:
+        """Close all open elements from a place on."""
+        while len(self.open) > at:
+            node = self.open.pop()
+            self.places[node.tag].pop()
+            if self.hidden == len(self.open):
+                self.hidden = None
+            elif len(self.open) > DEEPEST and node.tag in BLOCK:
+                self.add(Node("div"))
 
     def close(self, tags: frozenset, stops: frozenset) -> None:
         """Close all open elements from the outermost of these tags on, not past a stop."""
-        found = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                found = i
-            elif self.open[i].tag in stops:
-                break
-        if found is not None:
-            del self.open[found:]
+        stop = self.last(stops - tags)
+        inside = [own[i] for own in (self.places.get(t) for t in tags) if own and (i := bisect.bisect(own, stop)) < len(own)]
+        if inside:
+            self.pop_to(min(inside))
 
     def end(self, tag: str) -> None:
         if tag == "br":
-            self.open[-1].children.append(Node("br"))
+            self.add(Node("br"))
             return
         if tag in ("body", "html"):
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            own = self.open[i].tag
-            if own == tag:
-                del self.open[i:]
-                return
-            if own in STOPS_END and tag not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th"):
-                return
-            if own == "table":
-                return
-        if tag == "p":
-            self.open[-1].children.append(Node("p"))
+        stops = ("table",) if tag in TABLE_PARTS else STOPS_END
+        at = self.last((tag,))
+        if at and at >= self.last(stops):
+            self.pop_to(at)
+        elif tag == "p" and not self.last(stops):
+            self.add(Node("p"))
 
 
 def visible(node: Node) -> bool:
+    """Whether an element is displayed at all."""
     if node.tag in UNSEEN:
         return False
     low = node.attrs
     if not low or low.isspace():
         return True
+    shown = _display.findall(node.attr("style") or "") if "style" in low.lower() else None
+    if shown:
+        return shown[-1].lower() != "none"
     if node.attr("hidden") is not None:
         return False
-    if node.tag == "input" and (node.attr("type") or "").lower() == "hidden":
-        return False
-    if "style" in low.lower():
-        return not _no_show.search(node.attr("style") or "")
-    return True
+    return node.tag != "input" or (node.attr("type") or "").lower() != "hidden"
+
+
+def dark(node: Node, before: bool) -> bool:
+    """Whether an element's texts are invisible, where those around it are so or not."""
+    if not node.attrs or "visibility" not in node.attrs.lower():
+        return before
+    told = _visibility.findall(node.attr("style") or "")
+    return told[-1].lower() != "visible" if told else before
 
 
 class Lines:
-    """Lines of text with pending breaks: 1 ends a line, 2 leaves a blank one."""
+    """Lines of text; breaks: 1 ends a line, 2 leaves a blank one."""
 
     def __init__(self):
         self.done: list[str] = []
         self.run: list[str] = []
-        self.breaks = 0
         self.first, self.rest = "", ""
+        #: Text that comes now is invisible.
+        self.dark = False
 
     def add(self, s: str) -> None:
+        if self.dark:
+            return
         if not self.run:
             s = s.lstrip(" ")
             if not s:
@@ -240,7 +299,7 @@ class Lines:
 
     def end(self, breaks: int) -> None:
         if self.run:
-            self.done.append("".join(self.run).rstrip())
+            self.done.append("".join(self.run).rstrip(" "))
             self.run = []
         if breaks == 2 and self.done and self.done[-1] != "":
             self.done.append("")
@@ -271,7 +330,10 @@ def _rows(node: Node) -> Iterator[Node]:
 
 
 def _table(node: Node, out: Lines, depth: int) -> None:
-    """Rows on lines, cells padded to their column; a cell's own lines stand on one line. Text outside cells comes before."""
+    """Rows below each other, cells in aligned columns, each with its own lines. Text outside cells comes before.
+
+    A cell goes to the first free column; those it spans, also in rows below, are taken.
+    """
     for x in node.children:
         if not isinstance(x, Node) or x.tag not in ("thead", "tbody", "tfoot", "tr"):
             _inside(x, out, depth)
@@ -279,36 +341,66 @@ def _table(node: Node, out: Lines, depth: int) -> None:
             for y in x.children:
                 if not isinstance(y, Node) or y.tag != "tr":
                     _inside(y, out, depth)
-    grid = []
+    grid: list[dict[int, list[str]]] = []
+    taken: list[tuple[int, int, int]] = []  # columns from, to, and how many rows more
     for row in _rows(node):
         out.end(1)
-        line: list[str] = []
+        line: dict[int, list[str]] = {}
+        at, below, open_ = 0, [], iter(taken)
+        ahead = next(open_, None)
         for cell in row.children:
             if not isinstance(cell, Node) or cell.tag not in CELLS:
                 _inside(cell, out, depth)
             elif visible(cell):
+                while ahead and ahead[0] <= at:
+                    at = max(at, ahead[1])
+                    ahead = next(open_, None)
                 inner = Lines()
+                inner.dark = dark(row, dark(node, out.dark))
                 for x in cell.children:
-                    _inside(x, inner, depth)
-                line.append(" ".join(inner.text().split()))
-                span = cell.attr("colspan") if cell.attrs else None
-                line += [""] * (min(int(span), 1000) - 1 if span and span.isdecimal() and int(span) > 1 else 0)
-        if any(line):
+                    _inside(x, inner, depth, shade=dark(cell, inner.dark))
+                if lines := [s for s in inner.text().split("\n") if s]:
+                    line[at] = lines
+                across, down = (1, 1) if not cell.attrs else (max(1, number(cell.attr("colspan"), 1, 1000)), number(cell.attr("rowspan"), 1, 65534))
+                if down != 1:  # 0: to the end of the table
+                    below.append((at, at + across, (down or 65535) - 1))
+                at += across
+        if taken or below:
+            taken = sorted([(a, b, n - 1) for a, b, n in taken if n > 1] + below)[:MOST_SPANS]
+        if line:
             grid.append(line)
     out.end(2)
-    widths: list[int] = []
+    widths: dict[int, int] = {}
     for line in grid:
-        for i, s in enumerate(line):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], _width(s))
+        for i, lines in line.items():
+            widths[i] = max(widths.get(i, 0), max((w for w in map(_width, lines) if w <= WIDEST), default=0))
+    columns = sorted(widths)
+    if len(columns) * len(grid) > SPARSEST * sum(map(len, grid)):
+        for line in grid:
+            out.line("  ".join(s for i in sorted(line) for s in line[i]))
+        grid = []
     for line in grid:
-        out.line("  ".join(s + " " * (widths[i] - _width(s)) for i, s in enumerate(line)).rstrip())
+        for n in range(max(map(len, line.values()))):
+            cells = [line[i][n] if i in line and n < len(line[i]) else "" for i in columns]
+            out.line("  ".join(s + " " * (widths[i] - _width(s)) for i, s in zip(columns, cells, strict=True)).rstrip(" "))
     out.end(2)
 
 
-def _inside(x, out: Lines, depth: int = 0, pre: bool = False) -> None:
+def _inside(x, out: Lines, depth: int = 0, pre: bool = False, shade: bool | None = None) -> None:
+    """One text or element; shade: whether it is invisible, if that isn't what it was before."""
+    before = out.dark
+    if shade is not None:
+        out.dark = shade
     if isinstance(x, str):
+        _text(x, out, pre)
+    elif visible(x):
+        out.dark = dark(x, out.dark)
+        _element(x, out, depth, pre)
+    out.dark = before
+
+
+def _text(x: str, out: Lines, pre: bool) -> None:
+    if not out.dark:
         if pre:
             lines = x.replace("\r\n", "\n").replace("\r", "\n").split("\n")
             for i, s in enumerate(lines):
@@ -319,21 +411,19 @@ def _inside(x, out: Lines, depth: int = 0, pre: bool = False) -> None:
                         out.run.append(out.first)
                     out.run.append(s)
             return
-        s = " ".join(x.split())
-        if s:
-            out.add((" " if x[0].isspace() else "") + s + (" " if x[-1].isspace() else ""))
-        elif x and out.run:
-            out.add(" ")
-        return
-    if not visible(x):
-        return
+        s = _blanks.sub(" ", x)
+        if s and (s != " " or out.run):
+            out.add(s)
+
+
+def _element(x: Node, out: Lines, depth: int, pre: bool) -> None:
     tag = x.tag
     if tag == "br":
         out.cut()
     elif tag == "hr":
         out.end(2)
     elif tag == "img":
-        if alt := (x.attr("alt") or "").strip():
+        if alt := _blanks.sub(" ", x.attr("alt") or "").strip(" "):
             out.add(alt)
     elif tag == "svg":
         _svg(x, out, depth)
@@ -366,8 +456,10 @@ def _inside(x, out: Lines, depth: int = 0, pre: bool = False) -> None:
 
 def _svg(node: Node, out: Lines, depth: int) -> None:
     """Of a drawing, its texts, each on a line of its own."""
+    before = out.dark
     for x in node.children:
         if isinstance(x, Node) and x.tag not in UNDRAWN and visible(x):
+            out.dark = dark(x, before)
             if x.tag in ("text", "foreignobject"):
                 out.end(1)
                 for y in x.children:
@@ -375,6 +467,7 @@ def _svg(node: Node, out: Lines, depth: int) -> None:
                 out.end(1)
             else:
                 _svg(x, out, depth)
+    out.dark = before
 
 
 def _list(node: Node, out: Lines, depth: int, numbered: bool) -> None:
@@ -387,8 +480,9 @@ def _list(node: Node, out: Lines, depth: int, numbered: bool) -> None:
             first, rest = out.first, out.rest
             out.end(1)
             out.first, out.rest = rest + mark, rest + " " * len(mark)
+            shade = dark(x, out.dark)
             for y in x.children:
-                _inside(y, out, depth + 1)
+                _inside(y, out, depth + 1, shade=shade)
             out.end(1)
             out.first, out.rest = first, rest
         else:
@@ -422,8 +516,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, text, n_lines), one row for each row of pages(page_id, html, ...).
 
     Null and empty pages give an empty text of 0 lines. Any input gives a result: tags that don't
-    close, stray ends and deep nesting lose no visible text. Other columns are ignored; an empty
-    table gives an empty table.
+    close, stray ends, deep nesting and numbers of any length lose no visible text and show no
+    hidden one. Other columns are ignored; an empty table gives an empty table.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(_render_batches, "page_id long, text string, n_lines long")

@@ -432,6 +432,99 @@ def test_rendering_survives_anything():
         assert sorted(re.findall(r"w\d+", html_text.render(page))) == sorted(f"w{i}" for i in range(40))
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("a&#" + "9" * 5000 + ";b &#x" + "0" * 5000 + "41; &#0065; &#0;", "a\ufffdb A A \ufffd"),
+        ("<table><tr><td colspan=" + "9" * 5000 + ">a<td>b<tr><td rowspan='²'>c</table>", "a  b\nc"),
+        ("<ol start=" + "9" * 5000 + "><li>a</ol>", "1. a"),
+        ("<div>" * 205 + "<div hidden>secret<b>no<p>no</p>no</b>no</div>seen<p>too" , "seen\ntoo"),
+        ("<div>" * 205 + "a<b>x</b>y<p style='visibility:hidden'>no</p>z", "axy\nz"),
+        ("a\u00a0\u00a0b \u3000 c&nbsp;", "a\u00a0\u00a0b \u3000 c\u00a0"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d<tr><td>e</table>", "a  b\n   c  d\ne"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e</table>", "a  b  c\nd     e"),
+        ("<table><tr><td>one<br>two<td>x<tr><td><table><tr><td>1<td>2<tr><td>33<td>4</table><td>y</table>", "one    x\ntwo\n1   2  y\n33  4"),
+        ("<div style='visibility:hidden'>no<ul><li>no<b style='visibility: visible'>yes</b>no</ul></div>out", "- yes\n\nout"),
+        ("<p style='visibility:collapse'>no<p hidden>no<p hidden style='display:block'>yes", "yes"),
+        ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>", "yes"),
+        ("<svg style='visibility:hidden'><text>no</text><g style='visibility:visible'><text>yes</text></g></svg>", "yes"),
+    ],
+)
+def test_rendering_of_numbers_depth_spaces_and_spans(page, text):
+    assert html_text.render(page) == text
+
+
+def plain_render(tokens):
+    """Words and breaks to text: the strongest break between two words counts, none at the ends."""
+    out, gap = "", 0
+    for kind, x in tokens:
+        if kind == "break":
+            gap = max(gap, x)
+        else:
+            out += ("\n" * gap if gap else " ") * bool(out) + x
+            gap = 0
+    return out
+
+
+def test_rendering_equals_a_plain_renderer():
+    rng = random.Random(12)
+    count = itertools.count()
+
+    def grow(depth, shown):
+        """(html, tokens) of a random run of words and elements."""
+        page, tokens = "", []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.choice(["word", "word", "b", "i", "div", "section", "p", "none"]) if depth else "word"
+            if kind == "word":
+                w = f"w{next(count)}"
+                page += rng.choice([" ", "\n\t ", "  "]) + w.replace("w", rng.choice(["w", "&#119;", "&#x77;"])) + " "
+                tokens += [("word", w)] if shown else []
+            elif kind == "none":
+                inner, _ = grow(depth - 1, False)
+                page += f"<section hidden>{inner}</section>"
+            elif kind == "p":  # no blocks inside; its end tag may be left out, as a block or an end follows
+                w = f"w{next(count)}"
+                page += f"<p> {w} <b>{w}x</b>" + rng.choice(["</p>", "<div></div>", "<p></p>"])
+                tokens += [("break", 2), ("word", w), ("word", w + "x"), ("break", 2)] if shown else []
+            else:
+                inner, own = grow(depth - 1, shown)
+                page += f"<{kind}>{inner}</{kind}>" if kind in "bi" else f"<{kind.upper()} class=x>{inner}</{kind}>"
+                step = [("break", 1)] if kind in ("div", "section") and shown else []
+                tokens += step + own + step
+        return page, tokens
+
+    for _ in range(500):
+        page, tokens = grow(4, True)
+        assert html_text.render(f"<body>{page}</body>") == plain_render(tokens)
+
+
+def test_one_long_cell_does_not_pad_all_rows():
+    page = "<table>" + "<tr><td>a<td>b" * 300 + "<tr><td>" + "long " * 20_000 + "<td>c</table>"
+    text = html_text.render(page)
+    assert len(text) < 110_000 and text.startswith("a  b\n")
+    sparse = "<table>" + "".join(f"<tr><td rowspan=9999 colspan=1000>w{i}" for i in range(1500)) + "</table>"
+    assert len(html_text.render(sparse)) < 20_000 and sorted(re.findall(r"w\d+", html_text.render(sparse))) == sorted(f"w{i}" for i in range(1500))
+
+
+def test_hidden_text_stays_hidden_at_any_depth():
+    rng = random.Random(8)
+    for depth in (0, 198, 199, 200, 201, 300):
+        for _ in range(60):
+            page, n, shut = ["<div>" * depth], 0, 0
+            for _ in range(30):
+                tag = rng.choice("b i p div ul li".split())
+                if rng.random() < 0.2 and not shut:
+                    page.append("<section hidden>")
+                    shut = 1
+                elif rng.random() < 0.2 and shut:
+                    page.append("</section>")
+                    shut = 0
+                page.append(f"<{tag}> {'no' if shut else 'w'}{n} </{tag}>")
+                n += not shut
+            text = html_text.render("".join(page))
+            assert "no" not in text and re.findall(r"w\d+", text) == [f"w{i}" for i in range(n)]
+
+
 def test_extract_table(spark):
     pages = spark.createDataFrame([(1, "<p>a<p>b", "x"), (2, None, "y"), (None, "c", "z"), (1, "<p>a<p>b", "x")], "page_id long, html string, text string")
     got = html_text.extract(pages).collect()
