@@ -6,6 +6,7 @@ import os
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -37,7 +38,7 @@ def test_hnsw_recall_ties_and_odd_rows(spark):
     base[100:160] = base[100]  # equal vectors
     base[5] *= 9
     rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(base)]
-    odd = [(1000, None, 0), (1001, [0.0] * 16, 0), (1002, [None] + [1.0] * 15, 0), (1003, [float("nan")] * 16, 0), (1004, [float("inf")] * 16, 0), (1005, [], 0), (None, [1.0] * 16, 0), (3, [float(x) for x in base[3]], 1)]
+    odd = [(1000, None, 0), (1001, [0.0] * 16, 0), (1002, [None] + [1.0] * 15, 0), (1003, [float("nan")] * 16, 0), (1004, [float("inf")] * 16, 0), (1005, [], 0), (None, [1.0] * 16, 0), (3, [float(x) for x in base[3]], 1)]  # the last one repeated
     table = hnsw.usable_vectors(vectors_of(spark, rows + odd), allow_zero=False)
     assert table.count() == 900
     got = hnsw.search(hnsw.build_index(table, shard_rows=300), table.where("vec_id % 20 = 0"), k=20).collect()
@@ -54,6 +55,17 @@ def test_hnsw_recall_ties_and_odd_rows(spark):
     assert hits / 45 / 20 >= 0.95
 
 
+def test_hnsw_of_large_numbers_and_repeated_ids(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, -1e200]), (2, [1e200, 1.0]), (3, [-1e200, 0.0]), (4, [0.0, 5.0]), (4, [0.0, 7.0])]
+    table = hnsw.usable_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), allow_zero=False)
+    assert table.count() == 6
+    got = hnsw.search(hnsw.build_index(table), table.where("vec_id = 0"), k=20).collect()
+    inf = float("inf")
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 2, inf), (2, 4, 1e200 * 7.0), (3, 4, 1e200 * 5.0), (4, 1, 0.0), (5, 3, -inf)]
+    both = hnsw.search(hnsw.build_index(table), table.where("vec_id = 4"), k=1).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in both) == [(4, 1, 0, 1e200 * 5.0), (4, 1, 0, 1e200 * 7.0)]
+
+
 def test_hnsw_small_and_empty_tables(spark):
     few = hnsw.usable_vectors(vectors_of(spark, [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [1.0], 0)]), allow_zero=False)
     got = hnsw.search(hnsw.build_index(few), few.where("vec_id % 20 = 0"), k=20).collect()
@@ -554,6 +566,21 @@ def test_topk_is_exact(spark, seed):
     assert topk_search.search(table.limit(0), table.limit(0), k=10, scale=1024).count() == 0
 
 
+def test_topk_of_large_numbers_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=4) * 10.0 ** rng.choice([0, 3, 7, 12, 30])).tolist()) for i in range(150)]
+    rows += [(100, [1e307, -1e307, 1e307, 1.0]), (200, [-1e307, 1e307, 2.0, 1.0]), (300, [1e7, -1e7, 1e7, 1.0]), (300, [3.0, 2.0, 1.0, 0.5])]
+    table = hnsw.usable_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), allow_zero=True)
+    got = topk_search.search(table, table.where("vec_id % 100 = 0"), k=10, scale=1024, shard_rows=40).collect()
+    whole = [(i, [int(Fraction(x) * 1024 // 1) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 100 == 0:
+            scores = [(max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(v, w, strict=True)))), i) for i, w in whole if i != q]
+            want += [(q, n + 1, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:10])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+
+
 # Operator 9
 
 
