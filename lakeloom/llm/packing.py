@@ -23,11 +23,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.llm.common import parts_for, settle, tidy
 
 CAPACITY = 4096
 END_ID = 1
+#: Pieces of one length are ranked in blocks, of which there is one for so many rows of the table.
 ROWS_PER_BLOCK = 20_000
 #: Words kept with their ids in a worker; beyond it, the table starts anew.
 WORDS_KEPT = 200_000
@@ -137,12 +139,12 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:
 
 
 def _placer(plan):
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length, rank, per_bin, first, offset = (plan.value[x] for x in ("length", "rank", "per_bin", "bin", "offset"))
         order = np.lexsort((rank, length))
         length, rank, per_bin, first, offset = (x[order] for x in (length, rank, per_bin, first, offset))
-        for f in frames:
-            own, at = f["length"].to_numpy(), f["rank"].to_numpy()
+        for batch in batches:
+            own, at = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("length", "rank"))
             # Runs of one length lie together; within them, the last one that begins at or before the rank.
             low, high = np.searchsorted(length, own, "left"), np.searchsorted(length, own, "right")
             while (busy := high - low > 1).any():
@@ -151,9 +153,8 @@ def _placer(plan):
                 high = np.where(busy & late, mid, high)
                 low = np.where(busy & ~late, mid, low)
             i = at - rank[low]
-            f["sequence_id"] = first[low] + i // per_bin[low]
-            f["offset"] = offset[low] + i % per_bin[low] * own
-            yield f.drop(columns=["rank"])
+            places = pa.array(first[low] + i // per_bin[low]), pa.array(offset[low] + i % per_bin[low] * own)
+            yield pa.RecordBatch.from_arrays([batch.column("item"), *places], names=["item", "sequence_id", "offset"])
 
     return place
 
@@ -162,28 +163,36 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """items with sequence_id and offset added: bins of at most `capacity`, gapless from 0.
 
     items holds a column length (long, 1..capacity) and columns that tell its rows apart; equal rows
-    are interchangeable and each gets its own place. Lengths that are null, below 1 or above the
-    capacity raise an error. An empty table gives an empty table. Numbers are stable for a given
-    set of rows, whatever their order or partitioning.
+    are counted, not sorted, and each gets its own place. Columns of items that are named
+    sequence_id or offset give way to these; any other names may occur. Lengths that are null, below
+    1 or above the capacity raise an error. An empty table gives an empty table. Numbers are stable
+    for a given set of rows, whatever their order or partitioning.
     """
     spark = items.sparkSession
-    own = [c for c in items.columns]
+    own = [c for c in items.columns if c not in ("sequence_id", "offset")]
+    fields = [f for f in items.schema.fields if f.name in own]
+    # All of a row in one column, so that no name of its own is in the way.
+    rows = items.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("item"))
+    rows = rows.select("item", F.col("item.length").cast("long").alias("length"), F.xxhash64("item").alias("hash"))
+    alike = rows.groupBy("length", "hash", "item").agg(F.count("*").alias("copies"))
     total = items.count()
-    blocks = parts_for(total, ROWS_PER_BLOCK)
-    numbered = items.withColumn("block_", F.pmod(F.xxhash64(*own), F.lit(blocks)))
-    within = Window.partitionBy("length", "block_").orderBy(*own)
-    numbered = settle(numbered.withColumn("rank", F.row_number().over(within).cast("long") - 1))
-    counts = numbered.groupBy("length", "block_").agg(F.count("*").alias("c"))
-    before = Window.partitionBy("length").orderBy("block_").rowsBetween(Window.unboundedPreceding, -1)
-    starts = settle(counts.withColumn("start_", F.coalesce(F.sum("c").over(before), F.lit(0))))
+    alike = alike.withColumn("block", F.pmod("hash", F.lit(parts_for(total, ROWS_PER_BLOCK))))
+    before = Window.partitionBy("length", "block").orderBy("hash", "item").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = settle(alike.withColumn("before", F.coalesce(F.sum("copies").over(before), F.lit(0))).drop("hash"))
+    counts = numbered.groupBy("length", "block").agg(F.sum("copies").alias("c"))
+    earlier = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = settle(counts.withColumn("start", F.coalesce(F.sum("c").over(earlier), F.lit(0))))
     sizes = {r["length"]: r["c"] for r in starts.groupBy("length").agg(F.sum("c").alias("c")).limit(capacity + 2).collect()}
     if any(n is None or not 1 <= n <= capacity for n in sizes):
         raise ValueError(f"lengths must be 1 to {capacity}")
     plan = spark.sparkContext.broadcast({k: v.to_numpy() for k, v in plan_bins(sizes, capacity).items()})
-    ranked = numbered.join(starts.select("length", "block_", "start_"), ["length", "block_"])
-    ranked = ranked.withColumn("rank", F.col("rank") + F.col("start_")).select(*own, "rank")
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return ranked.mapInPandas(_placer(plan), f"{types}, sequence_id long, offset long")
+    # As many starts as lengths and blocks: they grow with the table, so they are dealt, not sent to all.
+    ranked = numbered.join(starts.select("length", "block", "start").hint("merge"), ["length", "block"])
+    turn = F.explode(F.expr("sequence(0L, copies - 1)")).alias("turn")
+    ranked = ranked.select("item", "length", F.col("start") + F.col("before"), turn).toDF("item", "length", "first", "turn")
+    ranked = ranked.select("item", "length", (F.col("first") + F.col("turn")).alias("rank"))
+    schema = T.StructType([T.StructField("item", T.StructType(fields)), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.mapInArrow(_placer(plan), schema).select("item.*", "sequence_id", "offset")
 
 
 #: ASCII punctuation but the apostrophe, which can begin an ending of its own.

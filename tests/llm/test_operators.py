@@ -648,6 +648,24 @@ def test_packed_documents_keep_their_tokens(spark):
     assert packing.pack_documents(docs_of(spark, []), tokenizer_path()).count() == 0
 
 
+def test_packing_of_clashing_names_and_repeated_rows(spark):
+    rows = [(n, n % 5, None if n % 3 else "x", -1, 7.5, "i") for n in range(1, 60)] + [(3, None, None, None, None, None)] * 400
+    names = "length long, rank long, `block.x` string, sequence_id long, offset double, item string"
+    items = spark.createDataFrame(rows, names).withColumns({"hash": F.lit(1), "copies": F.array(F.lit(2)), "before": F.lit("b"), "start": F.lit(0), "turn": F.lit(0), "first": F.lit(0)})
+    got = packing.pack(items, 100)
+    assert got.columns == [c for c in items.columns if c not in ("sequence_id", "offset")] + ["sequence_id", "offset"]
+    got = got.collect()
+    assert len(got) == len(rows)
+    assert check_bins([(r["length"], r["sequence_id"], r["offset"]) for r in got], 100) == -(-sum(r[0] for r in rows) // 100)
+    key = lambda x: repr(x)
+    assert sorted([(r["length"], r["rank"], r["block.x"], r["item"]) for r in got], key=key) == sorted([(a, b, c, f) for a, b, c, _, _, f in rows], key=key)
+    again = packing.pack(items.repartition(5), 100).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    with pytest.raises(ValueError):
+        packing.pack(items.limit(3).withColumn("length", F.lit(101).cast("long")), 100)
+    assert packing.pack(items.limit(0), 100).count() == 0
+
+
 # Operator 10
 
 
