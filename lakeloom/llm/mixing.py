@@ -4,9 +4,11 @@ A source's documents all get the same expected number of copies, target / size o
 whole part is certain; its fraction is a probability. Documents are paired: words move at random
 from one's probability to the other's, in the direction and amount that keep the source's expected
 words and every expectation, until one of the two is integral. Blocks of documents do this on
-their own, each leaves one fractional document, and these meet in a tree of blocks until one is
-left for each source. That one is rounded to the nearer side, so a source's taken words miss its
-target by half a document at most (its expectation alone is not kept).
+their own: from the largest on, each is paired with all smaller ones of its block, taken as one,
+as long as these can make it integral either way; then one by one. So a block leaves at most one
+fractional document, and these meet in a tree of blocks. In the last block of a source, a document
+that the smaller ones can't balance goes to the side that they can (its expectation alone is not
+kept), so a source's taken words miss its target by about half of its smallest document.
 """
 
 from __future__ import annotations
@@ -17,17 +19,19 @@ import struct
 from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import parts_for, settle
+from lakeloom.llm.common import settle
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
 MOST = 2
-BLOCK_ROWS = 8192
-FAN_IN = 1024
+#: Documents of a source that are rounded in one block, and open ones that meet in one of the next level.
+BLOCK_ROWS = 512
+FAN_IN = 512
 SMALL = 1e-12
 
 
@@ -88,10 +92,43 @@ def pivotal(keys, sizes, chances, seed: int) -> tuple[list[int], int | None, flo
     return out, held, p
 
 
+def settle_block(keys, sizes, chances, seed: int, last: bool) -> tuple[list[int], int | None, float]:
+    """0 or 1 for each row, largest first; the row still fractional, if any (its entry is -1), and its chance.
+
+    A row's pool is all rows after it: what it gains or loses, they lose or gain in parts that
+    keep every chance between 0 and 1, and the same parts either way, so that no expectation moves.
+    """
+    v, q = np.array(sizes, float), np.array(chances, float)
+    out = [-1] * len(v)
+    for i, w in enumerate(v):
+        p, rest, chance = q[i], v[i + 1 :], q[i + 1 :]
+        if p <= SMALL or p >= 1 - SMALL or w == 0:
+            out[i] = int(p >= 0.5)
+            continue
+        give = np.minimum(chance, 1 - chance)
+        pool = float(rest @ give)
+        if max(p, 1 - p) * w <= pool:
+            out[i] = int(_draw(seed, keys[i]) < p)
+        elif not last:
+            taken, held, p = pivotal(keys[i:], sizes[i:], q[i:].tolist(), seed)
+            return out[:i] + taken, None if held is None else i + held, p
+        else:
+            # What the pool can lose and gain at most, and what it would lack if the row goes to 1 or 0.
+            most, room = float(rest @ chance), float(rest @ (1 - chance))
+            lack, over = max(0.0, (1 - p) * w - most), max(0.0, p * w - room)
+            out[i] = int(_draw(seed, keys[i]) < p) if lack == over == 0 else int(lack < over)
+            give, pool = (chance, most) if out[i] else (1 - chance, room)
+        if pool > 0:
+            moved = max(-1.0, min(1.0, (p - out[i]) * w / pool))
+            q[i + 1 :] = np.clip(chance + moved * give, 0.0, 1.0)
+    return out, None, 0.0
+
+
 def _round_block(seed: int):
     def go(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable")
-        taken, held, p = pivotal(rows["key"].tolist(), rows["size"].tolist(), rows["chance"].tolist(), seed)
+        keys, sizes, chances = (rows[c].tolist() for c in ("key", "size", "chance"))
+        taken, held, p = settle_block(keys, sizes, chances, seed, rows["parts"].iloc[0] == 1)
         rows["extra"] = taken
         if held is not None:
             rows.iloc[held, rows.columns.get_loc("chance")] = p
@@ -103,25 +140,26 @@ def _round_block(seed: int):
 def sample_copies(rows: DataFrame, seed: int = 0) -> DataFrame:
     """(key, extra) for rows(group, key, size, chance): 0 or 1 with the given chances, in the tree of blocks.
 
-    Within a group the sum of size * extra differs from that of size * chance by half the
-    largest size at most. key is unique and fixes the draw, so reruns agree. Rows of size 0 are rounded.
+    Within a group the sum of size * extra differs from that of size * chance by about half the
+    size of its smallest row. A group has as many blocks as its rows need. key is unique and fixes
+    the draw, so reruns agree. Rows of size 0 are rounded.
     """
     schema = "group long, key string, size long, chance double, extra int"
-    total = rows.count()
-    parts = parts_for(total, BLOCK_ROWS)
-    level, decided = rows.select("group", "key", "size", "chance"), []
+    level, decided, fan = rows.select("group", "key", "size", "chance"), [], BLOCK_ROWS
     while True:
+        counts = level.groupBy("group").agg(F.expr(f"cast(ceil(count(*) / {fan}) as long)").alias("parts"))
+        counts = settle(counts)
+        most = counts.agg(F.max("parts")).first()[0] or 1
         blocks = settle(
-            level.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+            level.join(counts, "group")
+            .withColumn("part", F.expr("pmod(xxhash64(key), parts)"))
             .groupBy("group", "part")
             .applyInPandas(_round_block(seed), schema)
         )
         decided.append(blocks.where("extra >= 0"))
-        level = blocks.where("extra < 0").drop("extra")
-        if parts == 1:
+        level, fan = blocks.where("extra < 0").drop("extra"), FAN_IN
+        if most == 1:
             break
-        parts = parts_for(parts, FAN_IN)
-    decided.append(level.withColumn("extra", (F.col("chance") >= 0.5).cast("int")))
     out = decided[0]
     for x in decided[1:]:
         out = out.unionByName(x)
@@ -154,8 +192,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0)
     aims = targets(known, weights, share, most)
     plan = [(i, s, n, float(aims[s]), *_rate(aims[s], n)) for i, (s, n) in enumerate(sorted(known, key=lambda x: (x[0] is None, x[0] or "")))]
     plan = spark.createDataFrame(plan, "group long, source string, source_size long, target double, whole long, chance double")
+    # Rows alike are counted first: what is left of a number, or of rows without one, are its sizes and sources.
+    alike = settle(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("alike")))
     turn = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.col("source").asc_nulls_last())
-    rows = sized.withColumn("nth", F.row_number().over(turn) - 1)
+    before = F.coalesce(F.sum("alike").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    rows = alike.withColumn("before", before).withColumn("nth", F.explode(F.expr("sequence(before, before + alike - 1)"))).drop("before", "alike")
     plan = F.broadcast(plan.withColumnRenamed("source", "source_"))
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("source_")))
     rows = settle(rows.withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "nth")).drop("source_"))
