@@ -20,7 +20,9 @@ from lakeloom.llm.common import add_counts, settle, tidy
 
 BUCKET_BITS = 16
 RUN_BYTES = 1 << 19
-ITERATIONS = 8
+#: Expectation-maximisation of a document ends when no proportion moves by more. As the likelihood
+#: is concave in the proportions, it ends near their one best value from any start.
+TOLERANCE = 1e-5
 #: What a further language must gain: nats for each log(words), and the least share of the text.
 PENALTY = 3.0
 LEAST_SHARE = 0.05
@@ -95,6 +97,26 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32).T.copy()
 
 
+def maximised(pi: np.ndarray, p: np.ndarray, v: np.ndarray, starts: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """The proportions to which expectation-maximisation takes pi; rows of p (chances) and v (weights) belong to documents from starts on."""
+    sizes = np.diff(np.r_[starts, len(v)])
+    moving, out = np.arange(len(pi)), pi
+    while len(moving):
+        seat = np.repeat(np.arange(len(moving)), sizes)
+        before = pi
+        for _ in range(8):
+            before = pi
+            r = pi[seat] * p
+            r *= (v / np.maximum(r.sum(axis=1), 1e-300))[:, None]
+            pi = np.add.reduceat(r, starts, axis=0) / mass[:, None]
+        out[moving] = pi
+        left = np.abs(pi - before).max(axis=1) > TOLERANCE
+        rows = left[seat]
+        pi, p, v, mass, sizes, moving = pi[left], p[rows], v[rows], mass[left], sizes[left], moving[left]
+        starts = np.cumsum(sizes) - sizes
+    return out
+
+
 def mixtures(texts: list[bytes], table: np.ndarray) -> np.ndarray:
     """Proportions (texts x languages) of each text's selected set; rows without words are zero."""
     n, langs = len(texts), table.shape[1]
@@ -134,11 +156,7 @@ def mixtures(texts: list[bytes], table: np.ndarray) -> np.ndarray:
         seat, p, v = of[place[mine]], chance[mine], weight[mine]
         starts = np.searchsorted(seat, np.arange(len(active)))
         mass = np.add.reduceat(v, starts)
-        pi = trial / trial.sum(axis=1, keepdims=True)
-        for _ in range(ITERATIONS):
-            r = pi[seat] * p
-            r *= (v / np.maximum(r.sum(axis=1), 1e-300))[:, None]
-            pi = np.add.reduceat(r, starts, axis=0) / mass[:, None]
+        pi = maximised(trial / trial.sum(axis=1, keepdims=True), p, v, starts, mass)
         mixed = np.log(np.maximum((pi[seat] * p).sum(axis=1), 1e-300)) + floor[mine]
         mixed = np.add.reduceat(mixed, starts)
         better = (mixed - penalty[active] > like[active]) & (pi[np.arange(len(active)), newest] >= LEAST_SHARE)

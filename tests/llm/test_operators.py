@@ -164,6 +164,58 @@ def test_language_mixture(spark):
     assert language_id.identify(docs_of(spark, []), docs).count() == 0
 
 
+def plain_mixture(text, table):
+    """Shares of one text's languages, word by word in plain Python."""
+    words = "".join(chr(b) if chr(b).isalpha() and b < 128 else " " for b in text.encode()).lower().split()
+    fits = []
+    for w in words:
+        grams = [f" {w} "[i : i + 3].encode() for i in range(len(w))]
+        buckets = [((g[0] << 16 | g[1] << 8 | g[2]) * 2654435761 % 2**32) >> (32 - language_id.BUCKET_BITS) for g in grams]
+        fits.append((len(w), [sum(float(table[b][la]) for b in buckets) for la in range(table.shape[1])]))
+
+    def best(langs):
+        pi = {la: 1 / len(langs) for la in langs}
+        for _ in range(5000):
+            new = dict.fromkeys(langs, 0.0)
+            for n, f in fits:
+                top = max(f)
+                parts = {la: pi[la] * np.exp(f[la] - top) for la in langs}
+                for la in langs:
+                    new[la] += n * parts[la] / sum(parts.values())
+            pi = {la: x / sum(n for n, _ in fits) for la, x in new.items()}
+        return pi, sum(np.log(sum(pi[la] * np.exp(f[la] - max(f)) for la in langs)) + max(f) for _, f in fits)
+
+    every = range(table.shape[1])
+    chosen = [max(every, key=lambda la: sum(f[la] for _, f in fits))]
+    pi, like = best(chosen)
+    penalty = language_id.PENALTY * np.log(len(words) + 1)
+    while len(chosen) < len(every):
+        gain = {la: sum(max(0, f[la] - max(f[x] for x in chosen)) for _, f in fits) for la in every if la not in chosen}
+        new = max(gain, key=gain.get)
+        if gain[new] <= penalty:
+            break
+        trial, mixed = best([*chosen, new])
+        if mixed - penalty <= like or trial[new] < language_id.LEAST_SHARE:
+            break
+        chosen, pi, like = [*chosen, new], trial, mixed
+    return [pi.get(la, 0.0) for la in every]
+
+
+def test_mixtures_equal_plain_expectation_maximisation():
+    rng = random.Random(7)
+    words = [["kala", "muna", "tiko", "sapu", "the"], ["strx", "grmf", "plok", "the", "muna"], ["wiewy", "hjeoj", "kala", "qoeb", "strx"]]
+    counts = np.full((1 << language_id.BUCKET_BITS, 3), language_id.SMOOTHING)
+    for la, own in enumerate(words):
+        for w in own:
+            for b in language_id.word_grams([w.encode()])[0]:
+                counts[b, la] += rng.randint(5, 20)
+    table = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    texts = [" ".join(rng.choice(words[rng.choice(mix)]) for _ in range(n)) for mix in ([0], [1, 1, 2], [0, 1, 2], [2, 2, 2, 0], [0, 0, 1]) for n in (1, 6, 40)]
+    got = language_id.mixtures([t.encode() for t in texts], table)
+    want = np.array([plain_mixture(t, table) for t in texts])
+    assert ((want > 0).sum(axis=1) > 1).sum() > 4 and ((got > 0) == (want > 0)).all() and np.abs(got - want).max() < 1e-3
+
+
 def test_language_of_held_out_documents(spark):
     if not os.path.isdir(DATA):
         pytest.skip("no test tables")
