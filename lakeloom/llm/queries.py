@@ -137,6 +137,20 @@ ORACLES: dict[str, str] = {
         FROM x FULL JOIN y ON x.file = y.file AND x.o = y.o
         WHERE x.digest IS DISTINCT FROM y.digest
     """,
+    "op5_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(r.least, s.doc_id)) AS component_id, coalesce(l.n, 0)::BIGINT AS n_links
+        FROM s LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON s.doc_id = r.a LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON s.doc_id = l.a
+    """,
     "op6_chat_format": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
