@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakeloom.plans.spans import TimeWindow
+from lakeloom.plans.spans import Days
 
 OFFSET = r"(?i)(z|[+-]\d{2}:?\d{2})\s*$"
 
@@ -31,23 +31,23 @@ def epoch(ts: Column) -> Column:
     return ts.cast("timestamp").cast("long")
 
 
-def within(ts: Column, window: TimeWindow, keep_null: bool = False) -> Column:
+def within(ts: Column, window: Days, keep_null: bool = False) -> Column:
     """Instants from the window's first day up to, not including, the day after it."""
     inside = (ts >= F.lit(window.start)) & (ts < F.lit(window.stop))
     return inside | ts.isNull() if keep_null else inside
 
 
-def within_days(day: Column, window: TimeWindow) -> Column:
+def within_days(day: Column, window: Days) -> Column:
     return day.between(F.lit(window.start), F.lit(window.end))
 
 
-def within_local_days(ts: Column, zone: str, window: TimeWindow) -> Column:
+def within_local_days(ts: Column, zone: str, window: Days) -> Column:
     """Local days of a window, with a wider range of instants in front that scans can push down."""
     wide = (ts >= F.lit(window.start - timedelta(days=1))) & (ts < F.lit(window.stop + timedelta(days=1)))
     return wide & within_days(F.to_date(local_time(ts, zone)), window)
 
 
-def in_months(window: TimeWindow, year: str = "year", month: str = "month") -> Column:
+def in_months(window: Days, year: str = "year", month: str = "month") -> Column:
     """Partition predicate for year and month columns; becomes a partition filter of the scan."""
     return (F.col(year) * 100 + F.col(month)).isin([y * 100 + m for y, m in window.months()])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,9 +23,9 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 
 
 def share_of_total(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Each group's sum and its percentage of all; the grand total is over the groups, which are few."""
+    """Each group's sum and its percentage of all. The grand total is one number, a scalar subquery: any number of groups stays spread."""
     sums = df.groupBy(by).agg(F.sum(value).alias("total"))
-    return sums.withColumn("share_pct", 100 * F.col("total") / F.sum("total").over(Window.partitionBy()))
+    return sums.withColumn("share_pct", 100 * F.col("total") / df.agg(F.sum(value)).scalar())
 
 
 def error_metrics(actual: str, predicted: str) -> list[Column]:
@@ -48,6 +48,31 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
     return df.where(v.isNotNull()).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def correlation(y: str, x: str) -> Column:
+    return F.corr(y, x)
+
+
+def slope(y: str, x: str, where: Column | None = None) -> Column:
+    """Slope of y on x by least squares, over rows that meet a condition if there is one."""
+    keep = (lambda c: F.col(c)) if where is None else (lambda c: F.when(where, F.col(c)))
+    return F.regr_slope(keep(y), keep(x))
+
+
+def profile(df: DataFrame, local: Column, value: str) -> DataFrame:
+    """Mean and sample deviation by weekend or not and hour of local time."""
+    weekend = F.dayofweek(local).isin(1, 7).alias("weekend")
+    return df.groupBy(weekend, F.hour(local).alias("hour")).agg(F.avg(value).alias("mean"), F.stddev(value).alias("std"))
+
+
+def extremes(item: str, value: str) -> list[Column]:
+    """The item of the largest and of the least value; of equal ones, the least item."""
+    return [F.max_by(item, F.struct(value, -F.col(item))).alias("top"), F.min_by(item, F.struct(value, item)).alias("low")]
+
+
+def headline(value: str) -> list[Column]:
+    return [F.sum(value).alias("total"), F.max(value).alias("top"), F.avg(value).alias("mean"), F.count("*").alias("n")]
+
+
 def coverage(present: Column) -> list[Column]:
     """Rows that a left join found, all rows, and their ratio."""
     return [F.count_if(present).alias("n_matched"), F.count("*").alias("n_rows"), F.try_divide(F.count_if(present), F.count("*")).alias("coverage")]

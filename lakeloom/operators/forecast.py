@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -15,13 +16,33 @@ from lakeloom.operators.aggregate import error_metrics
 LEAST_ROWS = 200
 
 
+def instant_at(df: DataFrame, ts: str, share: float) -> int | None:
+    """The least instant, in microseconds, up to which at least that share of the rows with one lies; None without rows.
+
+    Found in days, then in the seconds of one day, then in the microseconds of one second: what is
+    counted and reaches the driver is bounded by time, not by rows, and nothing is sorted.
+    """
+    at = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("t")).where("t is not null")
+    left, low = None, None
+    for width in (86_400_000_000, 1_000_000, 1):
+        counts = sorted((r[0], r[1]) for r in at.groupBy(F.floor(F.col("t") / width)).count().collect())
+        if left is None:
+            if not counts:
+                return None
+            left = max(1, math.ceil(share * sum(c for _, c in counts)))
+        for low, c in counts:
+            if left <= c:
+                break
+            left -= c
+        at = at.where(F.col("t").between(low * width, (low + 1) * width - 1))
+    return low
+
+
 def split(df: DataFrame, ts: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Rows before and from the instant that leaves about `share` of them before it. No global sort."""
-    at = df.select(F.col(ts).cast("timestamp").cast("double").alias("t")).approxQuantile("t", [share], 0.0001)
-    if not at:
-        return df, df
-    before = F.col(ts).cast("timestamp").cast("double") < at[0]
-    return df.where(before), df.where(~before)
+    """Rows before and from the instant_at() of a share; rows without an instant are in neither."""
+    cut = instant_at(df, ts, share)
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    return df.where(t < F.lit(cut)), df.where(t >= F.lit(cut))
 
 
 def evaluate(df: DataFrame, actual: str, predicted: str) -> dict[str, float]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.scalars import lookup
-from lakeloom.plans.contract import Member, pick
+from lakeloom.plans.contract import Member, first_known
 
 
 def union_sources(frames: Sequence[DataFrame], fill: bool = False) -> DataFrame:
@@ -22,7 +22,7 @@ def unpivot(df: DataFrame, ids: Sequence[str], members: Sequence[Member], name:
     Values are cast without raising. One that fails stays (null, with what was read) if keep_bad,
     so that validation sees it; a member that the source lacks gives no rows.
     """
-    found = {m.name: c for m in members if (c := pick((m.name, *m.candidates), df.columns))}
+    found = {m.name: c for m in members if (c := first_known((m.name, *m.candidates), df.columns))}
     if not found:
         raise ValueError("no member is a column")
     wide = df.select(*ids, *[F.col(f"`{c}`").cast("string").alias(n) for n, c in found.items()])

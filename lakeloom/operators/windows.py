@@ -40,6 +40,22 @@ def rolling_open(value: str, keys: Sequence[str], ts: str, hours: int) -> Column
     return F.avg(value).over(w.rangeBetween(-hours * HOUR * MICRO + 1, 0))
 
 
+def rolling_open_rows(df: DataFrame, value: str, keys: Sequence[str], ts: str, hours: int, name: str, span: int = 8) -> DataFrame:
+    """df with rolling_open() as a column, for keys with any number of rows.
+
+    Time is cut into blocks of span * hours. A row is also a margin of the next block if it is in
+    reach of it, so a window sees one key's block and not the whole key; one row in span moves twice.
+    """
+    at, reach = F.unix_micros(F.col(ts).cast("timestamp")), hours * HOUR * MICRO
+    block = F.floor(at / (span * reach))
+    own = F.array(F.struct(block.alias("block"), F.lit(True).alias("own")))
+    margin = F.array(F.struct((block + 1).alias("block"), F.lit(False).alias("own")))
+    rows = df.withColumn("place_", F.explode(F.when(at >= (block + 1) * (span * reach) - reach, F.concat(own, margin)).otherwise(own)))
+    w = Window.partitionBy(*keys, F.col("place_.block")).orderBy(F.unix_micros(F.col(ts).cast("timestamp")))
+    rows = rows.withColumn(name, F.avg(value).over(w.rangeBetween(-reach + 1, 0)))
+    return rows.where("place_.own").drop("place_")
+
+
 def top_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:
     """The first row of each key; `by` must leave no ties."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where("_n = 1").drop("_n")

@@ -10,18 +10,18 @@ from dataclasses import dataclass, field
 REJECT, NULL_OUT, KEEP = "reject", "null_out", "keep"
 
 
-def normalize(name: str) -> str:
+def plain_name(name: str) -> str:
     """Lower-case ASCII letters and digits of a name, everything else one underscore."""
     plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
     return re.sub(r"[^a-z0-9]+", "_", plain.lower()).strip("_")
 
 
-def pick(candidates: Iterable[str], columns: Iterable[str]) -> str | None:
+def first_known(candidates: Iterable[str], columns: Iterable[str]) -> str | None:
     """The first candidate that is a column, by normalised name; of equal columns the first."""
     known: dict[str, str] = {}
     for c in columns:
-        known.setdefault(normalize(c), c)
-    return next((known[normalize(c)] for c in candidates if normalize(c) in known), None)
+        known.setdefault(plain_name(c), c)
+    return next((known[plain_name(c)] for c in candidates if plain_name(c) in known), None)
 
 
 @dataclass(frozen=True)
@@ -65,19 +65,26 @@ class Member:
 
 
 @dataclass(frozen=True)
-class TableSpec:
+class TableRules:
     name: str
     keys: tuple[str, ...]
     measures: tuple[Measure, ...] = ()
     dimensions: tuple[Dimension, ...] = ()
     not_null: tuple[str, ...] = ()
     drop_if_all_null: tuple[str, ...] = ()
+    #: "priority" keeps a key's best row, "merge" its best value of each measure.
     dedup: str = "priority"
+    #: Columns that come before the measures, in order.
     lineage: tuple[str, ...] = ()
+    #: Feeds that the table is made of; none: all.
+    feeds: tuple[str, ...] = ()
+    #: Where the feeds hold members as columns, those of these levels become rows of the one measure.
+    levels: tuple[str, ...] = ()
+    member: str = "member"
 
 
 @dataclass(frozen=True)
-class SourceSpec:
+class Feed:
     name: str
     path: str
     format: str
@@ -89,11 +96,18 @@ class SourceSpec:
 
 @dataclass(frozen=True)
 class Contract:
-    tables: Mapping[str, TableSpec]
-    sources: Mapping[str, SourceSpec]
+    tables: Mapping[str, TableRules]
+    sources: Mapping[str, Feed]
     qualities: Mapping[str, int]
     members: tuple[Member, ...] = ()
     max_reject_ratio: float = 0.25
+    #: Candidates for the column of instants, and the zone of those that name none.
+    instants: tuple[str, ...] = ("ts_utc",)
+    zone: str = "UTC"
+    #: Candidates for the column of quality, and the qualities that its normalised texts mean.
+    quality_columns: tuple[str, ...] = ()
+    quality_texts: Mapping[str, str] = field(default_factory=dict)
+    unknown_rank: int = 99
 
     def selected(self, levels: Iterable[str], categories: Iterable[str] | None = None) -> tuple[Member, ...]:
         """Members of some levels and, if given, categories: detail levels would count twice."""
@@ -108,17 +122,18 @@ def load(raw: Mapping) -> Contract:
     tables = {}
     for name, t in raw.get("tables", {}).items():
         rest = {k: v for k, v in tuples(t).items() if k not in ("measures", "dimensions")}
-        tables[name] = TableSpec(
+        tables[name] = TableRules(
             name=name,
             measures=tuple(Measure(**tuples(m)) for m in t.get("measures", ())),
             dimensions=tuple(Dimension(**tuples(d)) for d in t.get("dimensions", ())),
             **rest,
         )
-    sources = {n: SourceSpec(name=n, **tuples(s)) for n, s in raw.get("sources", {}).items()}
+    sources = {n: Feed(name=n, **tuples(s)) for n, s in raw.get("sources", {}).items()}
     members = tuple(Member(**tuples(m)) for m in raw.get("members", ()))
     if len({m.name for m in members}) < len(members):
         raise ValueError("members must have different names")
-    return Contract(tables, sources, dict(raw.get("qualities", {})), members, raw.get("max_reject_ratio", 0.25))
+    rest = {k: v for k, v in tuples(raw).items() if k not in ("tables", "sources", "members", "qualities")}
+    return Contract(tables, sources, dict(raw.get("qualities", {})), members, **rest)
 
 
 def load_file(path: str) -> Contract:

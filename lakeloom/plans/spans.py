@@ -15,7 +15,7 @@ def parse_day(x: str | date) -> date:
 
 
 @dataclass(frozen=True)
-class TimeWindow:
+class Days:
     """Days from start to end, both included."""
 
     start: date
@@ -26,7 +26,7 @@ class TimeWindow:
             raise ValueError(f"window ends on {self.end}, before its start {self.start}")
 
     @classmethod
-    def of(cls, start: str | date, end: str | date) -> TimeWindow:
+    def between(cls, start: str | date, end: str | date) -> Days:
         return cls(parse_day(start), parse_day(end))
 
     @property
@@ -44,17 +44,17 @@ class TimeWindow:
             yield at // 12, at % 12 + 1
             at += 1
 
-    def widen(self, before: int, after: int) -> TimeWindow:
-        return TimeWindow(self.start - timedelta(days=before), self.end + timedelta(days=after))
+    def widen(self, before: int, after: int) -> Days:
+        return Days(self.start - timedelta(days=before), self.end + timedelta(days=after))
 
-    def month_aligned(self) -> TimeWindow:
+    def whole_months(self) -> Days:
         """Whole months: what an overwrite of month partitions must cover."""
         last = calendar.monthrange(self.end.year, self.end.month)[1]
-        return TimeWindow(self.start.replace(day=1), self.end.replace(day=last))
+        return Days(self.start.replace(day=1), self.end.replace(day=last))
 
 
 @dataclass(frozen=True)
-class FeatureSpan:
+class Reach:
     """Hours that features look back and ahead, in whole days of reading."""
 
     lags: tuple[int, ...] = (24, 48, 168)
@@ -70,15 +70,15 @@ class FeatureSpan:
         return -(-self.lead // 24)
 
 
-def reading_window(requested: TimeWindow, span: FeatureSpan) -> TimeWindow:
+def days_to_read(requested: Days, span: Reach) -> Days:
     """What must be read to write whole months of the request with complete features."""
-    return requested.month_aligned().widen(span.lookback, span.lookahead)
+    return requested.whole_months().widen(span.lookback, span.lookahead)
 
 
-def run_window(params: dict, interval_start: datetime, interval_end: datetime) -> TimeWindow:
+def scheduled_days(params: dict, interval_start: datetime, interval_end: datetime) -> Days:
     """Month-aligned window of a scheduled run; params month and month_end (YYYY-MM) override the interval."""
     if params.get("month"):
         first = parse_day(params["month"] + "-01")
-        return TimeWindow(first, parse_day((params.get("month_end") or params["month"]) + "-01")).month_aligned()
+        return Days(first, parse_day((params.get("month_end") or params["month"]) + "-01")).whole_months()
     last = max(interval_start, interval_end - timedelta(microseconds=1))
-    return TimeWindow.of(interval_start, last).month_aligned()
+    return Days.between(interval_start, last).whole_months()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import logging
 import time
 import xml.etree.ElementTree as ElementTree
 from collections import OrderedDict
@@ -14,11 +16,15 @@ from pyspark.sql import types as T
 
 from lakeloom.functions.temporal import in_months, within
 from lakeloom.operators.validate import ValidationError, check_required
-from lakeloom.plans.contract import SourceSpec
-from lakeloom.plans.spans import TimeWindow
+from lakeloom.plans.contract import Feed
+from lakeloom.plans.spans import Days
+from lakeloom.sources.sinks import RawFolder
 
 
-def location(root: str, source: SourceSpec) -> str:
+log = logging.getLogger(__name__)
+
+
+def location(root: str, source: Feed) -> str:
     return "/".join(x.strip("/") if i else x.rstrip("/") for i, x in enumerate((root, source.path, source.glob)) if x)
 
 
@@ -45,8 +51,11 @@ def read_envelope(spark: SparkSession, path: str, options: Mapping[str, str]) ->
 
 
 def read_arrays(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
-    """JSON documents of parallel arrays, with partition folders below options["base"] as columns. Not exploded."""
-    reader = spark.read.option("multiLine", "true")
+    """JSON documents of parallel arrays, with partition folders below options["base"] as columns. Not exploded.
+
+    A file is one document; with options["multiLine"] "false", every line is one.
+    """
+    reader = spark.read.option("multiLine", options.get("multiLine", "true"))
     if options.get("base"):
         reader = reader.option("basePath", options["base"])
     return reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file"))
@@ -67,7 +76,7 @@ FORMATS: dict[str, Callable[[SparkSession, str, Mapping[str, str]], DataFrame]]
 }
 
 
-def read_source(spark: SparkSession, root: str, source: SourceSpec) -> DataFrame | None:
+def read_source(spark: SparkSession, root: str, source: Feed) -> DataFrame | None:
     """The source's rows, None if nothing is there. An unknown format, a missing field or an unreadable file raise."""
     if source.format not in FORMATS:
         raise ValidationError(f"{source.name}: unknown format {source.format}")
@@ -81,7 +90,7 @@ def read_source(spark: SparkSession, root: str, source: SourceSpec) -> DataFrame
     return df
 
 
-def read_window(spark: SparkSession, path: str, window: TimeWindow, ts: str = "ts_utc") -> DataFrame:
+def read_window(spark: SparkSession, path: str, window: Days, ts: str = "ts_utc") -> DataFrame:
     """Rows of a window from a table by year and month: partitions are pruned, the range reaches the files."""
     return spark.read.parquet(path).where(in_months(window)).where(within(F.col(ts), window))
 
@@ -144,6 +153,38 @@ def pull(get: Callable[[], tuple[int, bytes]], tries: int = 3, wait: float = 1.0
     raise ValidationError(f"no answer after {tries} tries, last status {status}")
 
 
+def pull_months(window: Days, folder: Callable[[int, int], RawFolder], get: Callable[[int, int], bytes], name: str, gate: Callable[[bytes], None] | None = None) -> list[str]:
+    """Raw files of the window's months, one a month: those whose folder is complete are passed, others must pass the gate."""
+    written = []
+    for year, month in window.months():
+        place = folder(year, month)
+        if not place.complete():
+            body = get(year, month)
+            if gate:
+                gate(body)
+            written.append(place.put(name, body))
+            place.finish()
+    return written
+
+
+def relay(records: Iterable[dict], send: Callable[[str, bytes], None], key: Callable[[dict], str], meta: Mapping[str, str] | None = None) -> int:
+    """Send records, as they are, in envelopes by key; the number sent. A record is taken only once it is sent."""
+    n = 0
+    for r in records:
+        send(key(r), json.dumps({"_meta": dict(meta or {}), "payload": r}, ensure_ascii=False).encode())
+        n += 1
+    return n
+
+
+def optional_days(get: Callable[[], bytes]) -> list[str]:
+    """The days that a JSON object has as keys, in order. Without an answer, none and a warning: features go on without."""
+    try:
+        return sorted(json.loads(get()))
+    except (OSError, ValueError) as e:
+        log.warning("days left out: %s", e)
+        return []
+
+
 def poll(page: Callable[[int, int], list[dict]], wanted: Callable[[dict], bool], key: Callable[[dict], str], seen: Seen, size: int = 100) -> Iterable[dict]:
     """New wanted records, newest page first, until a page is short or all its wanted records are known; pages without any are passed."""
     at = 0

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.plans.spans import TimeWindow
+from lakeloom.plans.spans import Days
 
 
 def with_partitions(df: DataFrame, ts: str = "ts_utc") -> DataFrame:
@@ -27,18 +26,18 @@ def overwrite_partitions(df: DataFrame, path: str, parts: Sequence[str] = ("year
     return seen.get["n"]
 
 
-def overwrite_months(df: DataFrame, path: str, window: TimeWindow, ts: str = "ts_utc") -> int:
+def overwrite_months(df: DataFrame, path: str, window: Days, ts: str = "ts_utc") -> int:
     """overwrite_partitions() of whole months: a partial month would destroy its other rows."""
-    if window != window.month_aligned():
+    if window != window.whole_months():
         raise ValueError(f"{window} is not whole months")
     return overwrite_partitions(with_partitions(df, ts), path)
 
 
-def stamp(df: DataFrame, window: TimeWindow) -> DataFrame:
+def stamp(df: DataFrame, window: Days) -> DataFrame:
     return df.withColumns({"window_start": F.lit(window.start), "window_end": F.lit(window.end)})
 
 
-def write_quarantine(df: DataFrame, path: str, window: TimeWindow) -> int:
+def write_quarantine(df: DataFrame, path: str, window: Days) -> int:
     """Replace the run's quarantine, also by nothing: a sound replay leaves no old rejects behind."""
     run = f"{window.start}_{window.end}"
     seen = Observation()
@@ -46,18 +45,35 @@ def write_quarantine(df: DataFrame, path: str, window: TimeWindow) -> int:
     return seen.get["n"]
 
 
-def already_written(folder: str) -> bool:
-    return os.path.exists(os.path.join(folder, "_SUCCESS"))
+class RawFolder:
+    """Raw files on whatever file system the folder's address names, which all machines of a cluster see."""
 
+    MARK = "_SUCCESS"
 
-def write_raw(folder: str, name: str, body: bytes) -> str:
-    """A raw file by a temporary name, renamed when whole; the folder's _SUCCESS comes last."""
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    with open(path + ".part", "wb") as f:
-        f.write(body)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(path + ".part", path)
-    open(os.path.join(folder, "_SUCCESS"), "wb").close()
-    return path
+    def __init__(self, spark: SparkSession, folder: str):
+        self.folder, self._path = folder.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._path(f"{self.folder}/{name}")
+
+    def complete(self) -> bool:
+        return self._files.exists(self._at(self.MARK))
+
+    def put(self, name: str, body: bytes) -> str:
+        """A file that is there whole or not at all: written under another name, then renamed."""
+        part, whole = self._at(f"{name}.part"), self._at(name)
+        out = self._files.create(part, True)
+        try:
+            out.write(bytearray(body))
+        finally:
+            out.close()
+        if self._files.exists(whole):
+            self._files.delete(whole, False)
+        if not self._files.rename(part, whole):
+            raise OSError(f"{part.toString()} can't be renamed")
+        return whole.toString()
+
+    def finish(self) -> None:
+        """Mark the folder as complete, after its last file."""
+        self._files.create(self._at(self.MARK), True).close()
