@@ -172,7 +172,7 @@ def word_count(text):
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0) -> DataFrame:
-    """(doc_id, nth, size, source_size, target, copies, taken), one row for each row of docs(doc_id, text, source, ...).
+    """(doc_id, nth, size, source_size, target, copies, taken, source), one row for each row of docs(doc_id, text, source, ...).
 
     size counts the text's words (null: 0); taken = size * copies. nth numbers rows that share a
     doc_id, largest first, from 0. Documents without words get 0 or 1 copies (they weigh nothing). A
@@ -204,7 +204,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0)
     out = rows.join(extra, "key")
     copies = (F.col("whole") + F.col("extra")).cast("int")
     return out.select(
-        "doc_id", "nth", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken")
+        "doc_id", "nth", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"), "source"
     )
 
 

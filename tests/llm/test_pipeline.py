@@ -42,8 +42,8 @@ def test_stages_make_their_decisions(spark, folder):
     assert sorted(r["doc_id"] for r in third.collect()) == sorted(i for i, n in copies.items() for _ in range(n))
     last = stages[3](spark, third, path).collect()
     check_bins([(r["length"], r["sequence_id"], r["offset"]) for r in last], packing.CAPACITY)
-    want = packing.pieces(third, tokenizer_path(), with_ids=False).collect()
-    key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
+    want = packing.pieces(third, tokenizer_path()).collect()
+    key = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"], bytes(r["ids"]))
     assert sorted(map(key, last)) == sorted(map(key, want))
 
 
