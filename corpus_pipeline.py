@@ -42,17 +42,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if ngram_join.uniquely_numbered(docs):
         taken = _with(docs, copies.select("doc_id", "copies"))
     else:
-        # Rows of one number are told apart by their turn, which mix() counts in this order.
-        turn = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.col("source").asc_nulls_last(), "text")
-        rows = docs.withColumn("size", mixing.word_count(F.col("text"))).withColumn("nth", F.row_number().over(turn) - 1).alias("d")
-        copies = settle(copies.select("doc_id", "nth", "copies")).hint("merge").alias("c")
-        same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.nth") == F.col("c.nth"))
-        taken = rows.join(copies, same).select("d.*", "c.copies")
+        # Rows of one number, source and size are alike to the mix: each takes one of their decisions. No text is sorted.
+        alike = Window.partitionBy("doc_id", "source", "size")
+        rows = settle(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+        sized = rows.select("row", "doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+        mine = sized.withColumn("turn", F.row_number().over(alike.orderBy("row"))).alias("d")
+        told = settle(copies.withColumn("turn", F.row_number().over(alike.orderBy(F.desc("copies"), "nth"))).select("doc_id", "source", "size", "turn", "copies")).hint("merge").alias("c")
+        same = F.lit(True)
+        for c in ("doc_id", "source", "size", "turn"):
+            same &= F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}"))
+        taken = rows.join(settle(mine.join(told, same).select("d.row", "c.copies")).hint("merge"), "row")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path(), with_ids=False)
+    """Every piece with its token ids and its place in a sequence."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 def _with(docs: DataFrame, decisions: DataFrame) -> DataFrame:
