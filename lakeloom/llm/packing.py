@@ -323,16 +323,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
-    """pieces() with the sequence and offset of each piece; see pack()."""
-    cut = settle(pieces(docs, tokenizer_path, capacity, with_ids))
-    if with_ids:
-        placed = pack(cut.drop("ids"), capacity)
-        # Equal pieces of rows that share a number are told apart by their turn only.
-        turn = Window.partitionBy("doc_id", "piece", "start", "length", "ids_crc32")
-        left = placed.withColumn("turn_", F.row_number().over(turn.orderBy("sequence_id", "offset")))
-        right = cut.withColumn("turn_", F.row_number().over(turn.orderBy("ids")))
-        on = F.lit(True)
-        for c in ("doc_id", "piece", "start", "length", "ids_crc32", "turn_"):
-            on &= left[c].eqNullSafe(right[c])
-        return left.join(right, on).select(left["*"], right["ids"]).drop("turn_")
-    return pack(cut.drop("ids"), capacity)
+    """pieces() with the sequence and offset of each piece; see pack(). The ids move once, to their place."""
+    if not with_ids:
+        return pack(settle(pieces(docs, tokenizer_path, capacity, False).drop("ids")), capacity)
+    cut = settle(pieces(docs, tokenizer_path, capacity).withColumn("row", F.monotonically_increasing_id()))
+    keys = ("doc_id", "piece", "start", "length", "ids_crc32")
+    placed = pack(cut.select(*keys), capacity)
+    # Pieces alike, of rows that share a number, are told apart by their turn only.
+    alike = Window.partitionBy(*keys)
+    mine = cut.select(*keys, "row").withColumn("turn", F.row_number().over(alike.orderBy("row"))).alias("m")
+    places = placed.withColumn("turn", F.row_number().over(alike.orderBy("sequence_id", "offset"))).alias("p")
+    same = F.lit(True)
+    for c in (*keys, "turn"):
+        same &= F.col(f"m.{c}").eqNullSafe(F.col(f"p.{c}"))
+    found = settle(mine.join(places, same).select("m.row", "p.sequence_id", "p.offset"))
+    return cut.join(found.hint("merge"), "row").select(*keys, "sequence_id", "offset", "ids")
