@@ -32,7 +32,7 @@ END_ID = 1
 #: Pieces of one length are ranked in blocks, of which there is one for so many rows of the table.
 ROWS_PER_BLOCK = 20_000
 #: Words kept with their ids in a worker; beyond it, the table starts anew.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 
 
 class _Gaps:
