@@ -140,6 +140,47 @@ def test_ranks_settle_where_many_rounds_end(spark):
     assert got.keys() == x.keys() and all(abs(got[h] - x[h] / sum(x.values())) < 1e-12 for h in x)
 
 
+def test_judged_hosts_equal_a_plain_pagerank(spark):
+    rng = random.Random(21)
+    hosts = [f"h{i}.{rng.choice(['com', 'net', 'org', 'org', 'org'])}" for i in range(60)]
+    pages, links, seeds = [], {}, {"allow": {}, "block": {}}
+    for n in range(220):
+        host, path = rng.choice(hosts), rng.choice(["/", "/es/x", "/fr/", "/de/"])
+        to = [rng.choice(hosts) for _ in range(rng.choice([0, 0, 1, 3]))]
+        pages.append((n, f"HTTP://{host.upper()}{path}?q", " ".join(f"<a class=x href='https://{x}/y'>t</a><a href='/own'>" for x in to)))
+        for x in to:
+            if x != host:
+                links[host, x] = links.get((host, x), 0) + 1
+        kind = "allow" if host.endswith(".com") else "block" if host.endswith(".net") and path in ("/es/x", "/fr/") else None
+        if kind:
+            seeds[kind][host] = seeds[kind].get(host, 0) + 1
+
+    def ranks(edges, start):
+        out = {}
+        for (a, _), n in edges.items():
+            out[a] = out.get(a, 0) + n
+        rank, step = dict(start), dict(start)
+        for _ in range(400):
+            new = {}
+            for (a, b), n in edges.items():
+                if a in step:
+                    new[b] = new.get(b, 0) + 0.85 * step[a] * n / out[a]
+            step = new
+            for h, x in new.items():
+                rank[h] = rank.get(h, 0) + x
+        return {h: x / sum(rank.values()) for h, x in rank.items()}
+
+    trust, distrust = ranks(links, seeds["allow"]), ranks({(b, a): n for (a, b), n in links.items()}, seeds["block"])
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = url_filter.judge(df, spark.createDataFrame(RULES, "host string, path string, verdict string")).collect()
+    assert len(rows) == 220 and {r["verdict"] for r in rows if r["rule"] is None} == {"allow", "block"}
+    for r in rows:
+        t, d = trust.get(r["host"], 0), distrust.get(r["host"], 0)
+        assert abs(r["trust"] - t) < 1e-8 and abs(r["distrust"] - d) < 1e-8
+        if r["rule"] is None and abs(t - d) > 1e-7:
+            assert r["verdict"] == ("block" if d > t else "allow")
+
+
 # Operator 3
 
 
