@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import re
 import tempfile
 import uuid
@@ -82,6 +83,17 @@ def settle(df: DataFrame, *, keep: bool = False) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def leaves_result_only(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The operator, of whose tables only the result stays; its first argument is a DataFrame."""
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **named) -> DataFrame:
+        with Scratch(df.sparkSession):
+            return settle(operator(df, *args, **named), keep=True)
+
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import settle
+from lakeloom.llm.common import leaves_result_only, settle
 
 SPAN = 1 << 16
 FAN = 16
@@ -128,6 +128,7 @@ def _compare(both: DataFrame) -> DataFrame:
     return altered.select(found).unionByName(alone.select(found)).unionByName(moved.select(found))
 
 
+@leaves_result_only
 def audit(left: DataFrame, right: DataFrame, span: int = SPAN, fan: int = FAN) -> DataFrame:
     """(file, offset, record_id, status, left_digest, right_digest): every record in which two replicas' leaves() differ.
 

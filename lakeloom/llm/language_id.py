@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import add_counts, settle, tidy
+from lakeloom.llm.common import Scratch, add_counts, settle, tidy
 
 BUCKET_BITS = 16
 RUN_BYTES = 1 << 19
@@ -91,7 +91,8 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    counts = add_counts(settle(rows.mapInArrow(tidy(_count), "key string, counts binary")), 1 << BUCKET_BITS)
+    with Scratch(docs.sparkSession):
+        counts = add_counts(settle(rows.mapInArrow(tidy(_count), "key string, counts binary")), 1 << BUCKET_BITS)
     langs = sorted(counts)
     table = np.array([counts[x] for x in langs], float).reshape(len(langs), 1 << BUCKET_BITS) + SMOOTHING
     return langs, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32).T.copy()

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import settle
+from lakeloom.llm.common import leaves_result_only, settle
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -171,6 +171,7 @@ def word_count(text):
     return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+@leaves_result_only
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed: int = 0) -> DataFrame:
     """(doc_id, nth, size, source_size, target, copies, taken, source), one row for each row of docs(doc_id, text, source, ...).
 

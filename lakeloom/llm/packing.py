@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import parts_for, settle, tidy
+from lakeloom.llm.common import leaves_result_only, parts_for, settle, tidy
 
 CAPACITY = 4096
 END_ID = 1
@@ -159,6 +159,7 @@ def _placer(plan):
     return place
 
 
+@leaves_result_only
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """items with sequence_id and offset added: bins of at most `capacity`, gapless from 0.
 

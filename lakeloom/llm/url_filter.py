@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import settle
+from lakeloom.llm.common import leaves_result_only, settle
 
 DAMPING = 0.85
 #: Propagation ends when no host gains more than this share of its rank.
@@ -116,6 +116,7 @@ def _significant(x: Column) -> Column:
     return F.when(x.isNull(), 0.0).otherwise(F.format_string("%.11e", x).cast("double"))
 
 
+@leaves_result_only
 def judge(pages: DataFrame, rules: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row for each row of pages(page_id, url, html, ...).
 

@@ -411,6 +411,15 @@ def test_operators_leave_no_tables_behind(spark):
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     ngram_join.jaccard_join(docs_of(spark, [(i, t, "x", "s") for i, t in enumerate(near_copies(random.Random(4), 40))])).count()
     assert len(set(os.listdir(folder)) - before) == 1  # the result
+    docs = docs_of(spark, [(i, f"a b c {i}", "x", "s") for i in range(30)])
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    pages = spark.createDataFrame([(0, "http://a.com/", "<a href='//b.net/'>"), (1, "http://c.net/fr/", "")], "page_id long, url string, html string")
+    leaves = fixity.leaves(docs, "n", "doc_id", "doc_id", "text")
+    before = set(os.listdir(folder))
+    results = [mixing.mix(docs), url_filter.judge(pages, rules), packing.pack(docs.select("doc_id", F.lit(3).cast("long").alias("length"))), fixity.audit(leaves, leaves)]
+    assert [r.count() for r in results] == [30, 2, 30, 0]
+    language_id.train(docs)
+    assert len(set(os.listdir(folder)) - before) == 4
 
 
 def test_links_of_odd_tables(spark):
