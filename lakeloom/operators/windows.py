@@ -40,20 +40,37 @@ def rolling_open(value: str, keys: Sequence[str], ts: str, hours: int) -> Column
     return F.avg(value).over(w.rangeBetween(-hours * HOUR * MICRO + 1, 0))
 
 
-def rolling_open_rows(df: DataFrame, value: str, keys: Sequence[str], ts: str, hours: int, name: str, span: int = 8) -> DataFrame:
-    """df with rolling_open() as a column, for keys with any number of rows.
+def rolling_open_rows(df: DataFrame, value: str, keys: Sequence[str], ts: str, hours: int, name: str, span: int = 24) -> DataFrame:
+    """df with rolling_open() as a column, in time that grows with the rows and not with a window's rows.
 
-    Time is cut into blocks of span * hours. A row is also a margin of the next block if it is in
-    reach of it, so a window sees one key's block and not the whole key; one row in span moves twice.
+    Time is cut into blocks, `span` to a reach. A window is its own block up to the row, the span - 1 whole
+    blocks before and the end of the block before those: a running sum forwards, sums by block and a running
+    sum backwards. Sums are only added, never taken off again, so one huge, infinite or NaN value touches no
+    window that it isn't in. Rows without a time are one another's window.
     """
-    at, reach = F.unix_micros(F.col(ts).cast("timestamp")), hours * HOUR * MICRO
-    block = F.floor(at / (span * reach))
-    own = F.array(F.struct(block.alias("block"), F.lit(True).alias("own")))
-    margin = F.array(F.struct((block + 1).alias("block"), F.lit(False).alias("own")))
-    rows = df.withColumn("place_", F.explode(F.when(at >= (block + 1) * (span * reach) - reach, F.concat(own, margin)).otherwise(own)))
-    w = Window.partitionBy(*keys, F.col("place_.block")).orderBy(F.unix_micros(F.col(ts).cast("timestamp")))
-    rows = rows.withColumn(name, F.avg(value).over(w.rangeBetween(-reach + 1, 0)))
-    return rows.where("place_.own").drop("place_")
+    micros, step = F.unix_micros(F.col(ts).cast("timestamp")), hours * HOUR * MICRO // span
+    place = F.pmod(micros, F.lit(step))
+    block = F.call_function("div", micros - place, F.lit(step))
+    number = F.col(value).cast("double")
+    rows = df.withColumns({"block_": block, "place_": place, "n_": F.when(number.isNotNull(), 1).otherwise(0).cast("long"), "sum_": F.coalesce(number, F.lit(0.0))})
+    series = rows.select(*keys, "block_", "place_", "n_", "sum_").where("block_ is not null")
+    whole = series.groupBy(*keys, "block_").agg(F.sum("n_").alias("n_"), F.sum("sum_").alias("sum_"))
+    whole = whole.withColumn("block_", F.explode(F.transform(F.sequence(F.lit(1), F.lit(max(span - 1, 1))), lambda i: F.col("block_") + i)))
+    parts = rows.withColumn("part_", F.lit("own"))
+    parts = parts.unionByName(series.withColumns({"block_": F.col("block_") + span, "part_": F.lit("end")}), allowMissingColumns=True)
+    if span > 1:
+        parts = parts.unionByName(whole.withColumns({"place_": F.lit(0).cast("long"), "part_": F.lit("whole")}), allowMissingColumns=True)
+    group = Window.partitionBy(*keys, "block_")
+    before = group.orderBy("place_").rangeBetween(Window.unboundedPreceding, 0)
+    after = group.orderBy(F.desc("place_")).rangeBetween(Window.unboundedPreceding, -1)
+
+    def within(c: str, none):
+        end = F.sum(F.when(F.col("part_") == "end", F.col(c)).otherwise(none)).over(after)
+        return F.sum(F.when(F.col("part_") != "end", F.col(c)).otherwise(none)).over(before) + F.coalesce(end, none)
+
+    n, total = within("n_", F.lit(0)), within("sum_", F.lit(0.0))
+    out = parts.withColumn(name, F.when(n > 0, total / n)).where("part_ = 'own'")
+    return out.select(*[F.col(c) for c in df.columns if c != name], name)
 
 
 def top_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataFrame:

@@ -290,6 +290,26 @@ def test_rolling_rows_in_blocks_equal_the_window(spark):
     assert len(got) == 500 and all(r["m"] == pytest.approx(want[r["i"]]) for r in got)
 
 
+def test_rolling_rows_add_each_row_once_and_take_none_off(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    odd = [float("inf"), float("nan"), 1e300, None, 0.1]
+    times = [None, datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(1970, 1, 1), datetime(1970, 1, 2), datetime(1970, 1, 1, 23, 59, 59, 999999)]
+    rows = [(i, rng.choice(["a", None]), rng.choice(times) or rng.choice([None, datetime(1969, 12, 25 + rng.randrange(7), rng.randrange(24))]), rng.choice(odd) if i % 50 == 0 else rng.random()) for i in range(1500)]
+    df = spark.createDataFrame(rows, "i int, k string, ts timestamp, v double")
+    want = {r["i"]: r["m"] for r in df.withColumn("m", windows.rolling_open("v", ["k"], "ts", 24)).collect()}
+    for span in (1, 2, 24):
+        out = windows.rolling_open_rows(df, "v", ["k"], "ts", 24, "m", span=span)
+        # A frame with a moving start is added up anew for each row: time by the square of a crowd.
+        frames = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+),", out._jdf.queryExecution().executedPlan().toString())
+        assert frames and set(frames) == {"unboundedpreceding$()"}
+        got = {r["i"]: r["m"] for r in out.collect()}
+        assert out.columns == [*df.columns, "m"] and len(got) == 1500
+        assert all(m is None if want[i] is None else m == pytest.approx(want[i], nan_ok=True) for i, m in got.items())
+
+
 def test_small_functions_no_query_shows(spark, tmp_path):
     from lakeloom.functions.temporal import within
     from lakeloom.operators import aggregate, forecast
