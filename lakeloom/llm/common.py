@@ -66,8 +66,8 @@ class Scratch:
             _delete(self.spark, path)
 
 
-def settle(df: DataFrame, *, keep: bool = False) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it again.
+def settle(df: DataFrame, *, keep: bool = False, **options) -> DataFrame:
+    """Write df as a Parquet table in the shared folder, with the writer's options, and read it again.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the steps before. Within a
     Scratch, the table is deleted at its end unless it is to be kept, for the next outer one if there is any.
@@ -79,7 +79,7 @@ def settle(df: DataFrame, *, keep: bool = False) -> DataFrame:
         owners[-1].paths.append(path)
     schema = df.schema
     with _shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import chat_format, fixity, hnsw, html_text, language_id, mixing, ngram_join, packing, topk_search, url_filter
-from lakeloom.llm.common import read_table
+from lakeloom.llm.common import Scratch, read_table
 
 #: The tokenizer that packing counts with, by its name in public_tokenizers.
 TOKENIZER = "word_bpe_49k.json"
@@ -30,7 +30,8 @@ def tokenizer_path() -> str:
 
 def op1_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = hnsw.usable_vectors(read_table(spark, sf_dir, "embeddings"), allow_zero=False)
-    return hnsw.search(hnsw.build_index(vectors), vectors.where("vec_id % 20 = 0"), k=20)
+    with Scratch(spark):
+        return hnsw.search(hnsw.build_index(vectors), vectors.where("vec_id % 20 = 0"), k=20)
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,26 @@ def test_hnsw_shard_takes_memory_in_proportion_to_its_rows():
     assert sorted(ids) == list(range(3000)) and all((rows["embedding"][2999 - i] == v).all() for i, v in zip(ids, vectors, strict=True))
 
 
+def test_hnsw_rounds_of_queries_copy_neither_index_nor_queries(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8 if i % 7 else 5).astype("float32")], 0) for i in range(400)]
+    table = hnsw.usable_vectors(vectors_of(spark, rows), allow_zero=False)
+    index = hnsw.build_index(table, shard_rows=100)
+    files = index.inputFiles()
+    # A file for each shard: Parquet's writer would hold a task's shards at once.
+    assert len(files) == index.count() == 8
+    asked = table.where("vec_id % 20 = 0")
+    once = {(r.query_id, r.rank): (r.vec_id, r.score) for r in hnsw.search(index, asked, k=5).collect()}
+    rounds = hnsw.search(index, asked, k=5, query_block=6)
+    assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in rounds.collect()} == once
+    for i in range(0, 400, 20):
+        v = np.array(rows[i][1])
+        near = sorted((-float((np.array(w) * v).sum()), j) for j, w, _ in rows if j != i and len(w) == len(v))[:5]
+        assert [once[i, n][0] for n in range(1, 6)] == [j for _, j in near]
+    plan = rounds._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "CoGroup" not in plan
+
+
 def test_hnsw_small_and_empty_tables(spark):
     few = hnsw.usable_vectors(vectors_of(spark, [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [1.0], 0)]), allow_zero=False)
     got = hnsw.search(hnsw.build_index(few), few.where("vec_id % 20 = 0"), k=20).collect()
